@@ -1,0 +1,129 @@
+"""Contracts on lookups, publication state, declared domains and the dictionary."""
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tripfold.functions.months import check_month
+from tripfold.sources.dictionary import definitions_frame
+
+
+def zone_violations(zones: DataFrame) -> DataFrame:
+    """Ids that are NULL, or held more than once, within a monthly snapshot."""
+    return (
+        zones.groupBy("source_month", "zone_id")
+        .agg(F.count("*").alias("copies"))
+        .where(F.col("zone_id").isNull() | (F.col("copies") > 1))
+        .withColumn(
+            "violation", F.when(F.col("zone_id").isNull(), "missing_id").otherwise("repeated_id")
+        )
+    )
+
+
+def requested_frame(status: DataFrame, months: Sequence[str]) -> DataFrame:
+    """Requested months as rows, each checked against the month contract."""
+    if not months:
+        raise ValueError("no month requested")
+    rows = [(check_month(month),) for month in sorted(set(months))]
+    return status.sparkSession.createDataFrame(rows, "source_month string")
+
+
+def readiness_violations(status: DataFrame, requested: DataFrame) -> DataFrame:
+    """Tracked months that are not SUCCESS, and requested months not tracked at all.
+
+    Any tracked month blocks, requested or not, since gold holds them all."""
+    not_ready = status.where(~F.col("status").eqNullSafe(F.lit("SUCCESS"))).select(
+        "source_month", F.lit("not_success").alias("violation")
+    )
+    absent = requested.join(status, "source_month", "left_anti").select(
+        "source_month", F.lit("not_prepared").alias("violation")
+    )
+    return not_ready.unionByName(absent)
+
+
+def trip_domains() -> dict[str, Column]:
+    """Declared domains of the source's coded columns and charges (fixed values)."""
+    domains = {
+        "VendorID": F.col("VendorID").isin(1, 2, 6, 7),
+        "RatecodeID": F.col("RatecodeID").isin(1, 2, 3, 4, 5, 6, 99),
+        "payment_type": F.col("payment_type").isin(0, 1, 2, 3, 4, 5, 6),
+        "store_and_fwd_flag": F.col("store_and_fwd_flag").isin("Y", "N"),
+        "passenger_count": (F.col("passenger_count") >= 0)
+        & (F.col("passenger_count") == F.floor("passenger_count")),
+    }
+    for charge in (
+        "extra",
+        "mta_tax",
+        "tip_amount",
+        "tolls_amount",
+        "improvement_surcharge",
+        "congestion_surcharge",
+        "airport_fee",
+        "cbd_congestion_fee",
+    ):
+        domains[charge] = F.col(charge) >= 0
+    return domains
+
+
+def domain_conformance(
+    frame: DataFrame, domains: Mapping[str, Column], by: str = "source_month"
+) -> DataFrame:
+    """Conforming, violating and NULL values per month and declared column.
+
+    All columns are counted in one scan; columns the frame lacks are left out."""
+    present = {name.casefold() for name in frame.columns}
+    counts = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            F.count_if(inside).alias("conforming"),
+            F.count_if(F.col(name).isNotNull() & ~inside).alias("violating"),
+            F.count_if(F.col(name).isNull()).alias("null_count"),
+        )
+        for name, inside in domains.items()
+        if name.casefold() in present
+    ]
+    if not counts:
+        raise ValueError("the frame has none of the declared columns")
+    return frame.groupBy(by).agg(F.array(*counts).alias("columns")).select(by, F.inline("columns"))
+
+
+def dictionary_report(
+    frame: DataFrame, table: str, definitions: DataFrame | None = None
+) -> DataFrame:
+    """Every observed column with its type, fill and definition; gaps are flagged.
+
+    The fill of all columns comes from one scan.  Names match without regard to case."""
+    if definitions is None:
+        definitions = definitions_frame(frame.sparkSession)
+    fills = [
+        F.struct(
+            F.lit(field.name).alias("column_name"),
+            F.lit(field.dataType.simpleString()).alias("data_type"),
+            F.lit(field.nullable).alias("nullable"),
+            F.count(F.col(f"`{field.name}`")).alias("populated"),
+        )
+        for field in frame.schema.fields
+    ]
+    observed = frame.agg(F.array(*fills).alias("columns")).select(
+        F.lit(table).alias("table_name"), F.inline("columns")
+    )
+    known = definitions.select(
+        F.lower("field").alias("field_key"), "description", "domain", "lineage"
+    )
+    return (
+        observed.join(known, F.lower("column_name") == F.col("field_key"), "left")
+        .withColumn("is_defined", F.col("field_key").isNotNull())
+        .drop("field_key")
+    )
+
+
+def dictionary_gaps(
+    frame: DataFrame, table: str, definitions: DataFrame | None = None
+) -> DataFrame:
+    """Observed columns the dictionary does not define."""
+    return (
+        dictionary_report(frame, table, definitions)
+        .where(~F.col("is_defined"))
+        .select("table_name", "column_name", "data_type", "nullable", "populated")
+    )

@@ -1,0 +1,4 @@
+"""No streaming operator is needed here: months are replaced whole.
+
+``operators.validate.validate`` keeps no state and joins static lookups only, so it
+runs on a streaming DataFrame unchanged; ``tests/test_validate.py`` shows it."""
