@@ -6,14 +6,14 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MONTH_PATTERN = "^[0-9]{4}-(0[1-9]|1[0-2])$"
+MONTH_PATTERN = "[0-9]{4}-(0[1-9]|1[0-2])"
 
 
 def check_month(value: str) -> str:
     """Return a month parameter unchanged, or refuse it.
 
     Months end up in partition specs and paths, so anything else is an error."""
-    if not isinstance(value, str) or not re.fullmatch(MONTH_PATTERN.strip("^$"), value):
+    if not isinstance(value, str) or not re.fullmatch(MONTH_PATTERN, value):
         raise ValueError(f"not a YYYY-MM month: {value!r}")
     date.fromisoformat(f"{value}-01")
     return value
@@ -29,7 +29,7 @@ def parse_months(text: str) -> list[str]:
 
 def is_month(text: Column) -> Column:
     """Column form of the contract: false for NULL, malformed or impossible months."""
-    return F.coalesce(text.rlike(MONTH_PATTERN) & ~text.startswith("0000"), F.lit(False))
+    return F.coalesce(text.rlike(rf"\A{MONTH_PATTERN}\z") & ~text.startswith("0000"), F.lit(False))
 
 
 def month_contract(frame: DataFrame, column: str) -> DataFrame:

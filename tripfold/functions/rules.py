@@ -1,6 +1,8 @@
 """Ordered (condition, code) rules rendered as one array<string> column."""
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
 from pyspark.sql import Column
@@ -15,9 +17,13 @@ class Rule(NamedTuple):
 def tag(rules: Sequence[Rule]) -> Column:
     """Codes of all rules whose condition is true, in rule order.
 
-    A NULL condition yields no code.  No rules, or none firing, gives ``[]``.  Empty
-    strings stand in for rules that did not fire: dropping them by value stays inside
+    A NULL condition yields no code.  No rules, or none firing, gives ``[]``; most
+    records end there, so the array is built only once some rule has fired.  Empty
+    strings stand in for the rules that did not: dropping them by value stays inside
     generated code, which filtering with a lambda would leave."""
+    none = F.array().cast("array<string>")
     if not rules:
-        return F.array().cast("array<string>")
-    return F.array_remove(F.array(*[F.when(r.condition, r.code).otherwise("") for r in rules]), "")
+        return none
+    codes = F.array(*[F.when(rule.condition, rule.code).otherwise("") for rule in rules])
+    some = reduce(or_, [rule.condition for rule in rules])
+    return F.when(some, F.array_remove(codes, "")).otherwise(none)

@@ -6,47 +6,77 @@ One lineitem row becomes one raw record; nations act as the places."""
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripfold.functions.lookups import fits_broadcast
 from tripfold.functions.months import month_of
 from tripfold.sources.landing import filename_column
 
+ORDERS_LIMIT_BYTES = 32 * 1024 * 1024  # by key width; the joined row is about three times that
 UNKNOWN_PLACE = 24  # the one nation left out of the place lookup
 SERVICE_ZONE = "Standard"
 
 
+# Layout of the tables (fixed values).  Stating it spares a footer-reading job per scan.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
+
+
+def placed_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with the customer's nation and everything that is the same for all items."""
+    orders = read_table(spark, folder, "orders").join(
+        read_table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey")
+    )
+    hours = (F.col("o_orderkey") % 24).cast("int")
+    return orders.select(
+        "o_orderkey",
+        "o_orderstatus",
+        "c_mktsegment",
+        "c_nationkey",
+        (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), hours)).alias("placed_at"),
+        month_of(F.col("o_orderdate")).alias("source_month"),
+    )
 
 
 def raw_trips(spark: SparkSession, folder: str) -> DataFrame:
     """Raw records in the source layout, one per lineitem row.
 
     Orders meet customers first, so the widest input is shuffled for the order key and
-    the supplier key only.  No join carries a hint: file sizes decide."""
+    the supplier key only.  Orders are broadcast when their row count, which file footers
+    give, proves them small; the inner join to customers adds no row."""
     items = read_table(spark, folder, "lineitem")
-    orders = read_table(spark, folder, "orders").join(
-        read_table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey")
-    )
+    orders = placed_orders(spark, folder)
+    if fits_broadcast(read_table(spark, folder, "orders").select("o_orderkey"), ORDERS_LIMIT_BYTES):
+        orders = F.broadcast(orders)
     joined = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         read_table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")
     )
 
-    zero = F.lit(0)
-    hours = (F.col("o_orderkey") % 24).cast("int")
-    days = F.when(F.col("l_linenumber") == 1, -1).otherwise(0)
-    base = F.col("o_orderdate") + F.make_dt_interval(days, hours)
+    base = F.when(
+        F.col("l_linenumber") == 1, F.col("placed_at") - F.expr("interval 1 day")
+    ).otherwise(F.col("placed_at"))
     offset = (
         7 * F.col("l_partkey") + 13 * F.col("l_suppkey") + 101 * F.col("l_linenumber")
     ) % 14400 - 600
     fare = F.floor(F.col("l_extendedprice") / 200).cast("double")
     unpriced = F.col("l_partkey") % 50 == 0
     refunded = (F.col("l_linenumber") == 7) & (F.col("l_partkey") % 3 == 0)
-    month = month_of(F.col("o_orderdate"))
 
     return joined.select(
         F.when(F.col("l_orderkey") % 97 != 0, base).alias("tpep_pickup_datetime"),
-        (base + F.make_dt_interval(zero, zero, zero, offset.cast("decimal(18,6)"))).alias(
-            "tpep_dropoff_datetime"
-        ),
+        (base + F.expr("interval 1 second") * offset).alias("tpep_dropoff_datetime"),
         F.col("c_nationkey").alias("PULocationID"),
         F.col("s_nationkey").alias("DOLocationID"),
         (2.5 * F.col("l_quantity") - 5).alias("trip_distance"),
@@ -56,8 +86,8 @@ def raw_trips(spark: SparkSession, folder: str) -> DataFrame:
         "l_linestatus",
         "o_orderstatus",
         "c_mktsegment",
-        month.alias("source_month"),
-        filename_column(month).alias("source_filename"),
+        "source_month",
+        filename_column(F.col("source_month")).alias("source_filename"),
         F.current_timestamp().alias("ingested_at"),
         F.lit("feed").alias("ingestion_run_id"),
     )
