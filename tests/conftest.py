@@ -16,7 +16,7 @@ def spark():
         "tripfold-tests",
         "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.ui.enabled": "false",
             "spark.driver.bindAddress": "127.0.0.1",
             "spark.driver.host": "127.0.0.1",

@@ -1,14 +1,14 @@
 """Landing files: names, readers, provenance and the completeness audit."""
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripfold.functions.months import check_month, is_month
+from tripfold.functions.months import check_month
 
 # Fixed names of the source's files and columns.
 TRIP_FILE_PREFIX = "yellow_tripdata_"
@@ -69,52 +69,97 @@ def with_provenance(frame: DataFrame, month: str, filename: str, run_id: str) ->
     )
 
 
-def _read_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Read the first and last four bytes of each listed file, never the file."""
-    for batch in batches:
-        ends = []
-        for path, length in zip(batch["path"].to_pylist(), batch["length"].to_pylist()):
-            if length < 2 * len(PARQUET_MAGIC):
-                ends.append((b"", b""))
-                continue
-            location = re.sub("^file:/+", "/", path).replace("s3a://", "s3://")
-            system, name = fs.FileSystem.from_uri(location)
-            with system.open_input_file(name) as stream:
-                head = stream.read(len(PARQUET_MAGIC))
-                stream.seek(length - len(PARQUET_MAGIC))
-                ends.append((head, stream.read(len(PARQUET_MAGIC))))
-        yield pa.RecordBatch.from_arrays(
-            [batch["path"], batch["length"],
-             pa.array([head for head, _ in ends], pa.binary()),
-             pa.array([tail for _, tail in ends], pa.binary())],
-            names=["path", "length", "head", "tail"],
-        )
-
-
-def landing_audit(spark: SparkSession, folder: str) -> DataFrame:
-    """Completeness of every file below a landing folder.
-
-    The listing selects path and length only, so file contents are not loaded; each
-    task then fetches eight bytes per Parquet file.  ``violation`` is NULL for a sound
-    file."""
-    listed = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(folder)
-        .select("path", "length")
+def _open_folder(location: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(re.sub("^file:/+", "/", location).replace("s3a://", "s3://"))
+
+
+def _list_months(folder: str):
+    """List the files below ``folder/<month>`` for each month of a batch.
+
+    Names starting with ``_`` or ``.`` are left out, as Spark's readers do."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for month in batch["source_month"].to_pylist():
+                system, root = _open_folder(f"{folder}/{month}")
+                found = [
+                    (info.path[len(root) :].lstrip("/"), info.size)
+                    for info in system.get_file_info(
+                        fs.FileSelector(root, allow_not_found=True, recursive=True)
+                    )
+                    if info.is_file and info.base_name[0] not in "_."
+                ]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "source_month": pa.array([month] * len(found), pa.string()),
+                        "path": pa.array([path for path, _ in found], pa.string()),
+                        "length": pa.array([size for _, size in found], pa.int64()),
+                    }
+                )
+
+    return run
+
+
+def _read_ends(folder: str):
+    """Fetch the first and last four bytes of each listed file, never the whole file."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = _open_folder(folder)
+        size = len(PARQUET_MAGIC)
+        for batch in batches:
+            ends = []
+            for row in batch.to_pylist():
+                if row["length"] < 2 * size:
+                    ends.append(b"")
+                    continue
+                path = f"{root}/{row['source_month']}/{row['path']}"
+                with system.open_input_file(path) as stream:
+                    head = stream.read(size)
+                    stream.seek(row["length"] - size)
+                    ends.append(head + stream.read(size))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(ends, pa.binary())], names=[*batch.schema.names, "ends"]
+            )
+
+    return run
+
+
+def landing_audit(spark: SparkSession, folder: str, months: Sequence[str]) -> DataFrame:
+    """Completeness of the landing files of the given months, one row per file.
+
+    ``violation`` is NULL for a sound file.  Months are listed in parallel; the files
+    are then spread over all tasks, so that a month with very many part files is not
+    left to one, and each costs a read of eight bytes."""
+    wanted = spark.createDataFrame(
+        [(check_month(month),) for month in months], "source_month string"
+    )
+    listing = "source_month string, path string, length bigint"
+    listed = wanted.repartition("source_month").mapInArrow(_list_months(folder), listing)
+    files = listed.repartition("source_month", "path").mapInArrow(
+        _read_ends(folder), f"{listing}, ends binary"
     )
-    name = F.element_at(F.split("path", "/"), -1)
-    month = F.regexp_extract(name, f"^{TRIP_FILE_PREFIX}(.*)[.]parquet$", 1)
-    complete = (F.col("head") == F.lit(PARQUET_MAGIC)) & (F.col("tail") == F.lit(PARQUET_MAGIC))
-    return listed.mapInArrow(
-        _read_ends, "path string, length bigint, head binary, tail binary"
-    ).select(
+
+    trip_file = filename_column(F.col("source_month"))
+    name = F.substring_index("path", "/", 1)  # a trip file may be a folder of part files
+    audited = files.select(
+        "source_month",
         name.alias("file_name"),
+        "path",
         "length",
         F.when(F.col("length") == 0, "empty_file")
-        .when(name.endswith(".parquet") & ~complete, "incomplete_parquet")
-        .when(name.endswith(".parquet") & ~is_month(month), "unexpected_name")
-        .when(~name.endswith(".parquet") & (name != ZONE_FILE), "unexpected_name")
+        .when(~name.isin(ZONE_FILE) & (name != trip_file), "unexpected_name")
+        .when((name == trip_file) & (F.col("ends") != PARQUET_MAGIC * 2), "incomplete_parquet")
         .alias("violation"),
-        "path",
     )
+    absent = (
+        wanted.select(
+            "source_month", F.explode(F.array(trip_file, F.lit(ZONE_FILE))).alias("file_name")
+        )
+        .join(
+            listed.select("source_month", name.alias("file_name")),
+            ["source_month", "file_name"],
+            "left_anti",
+        )
+        .withColumn("violation", F.lit("missing_file"))
+    )
+    return audited.unionByName(absent, allowMissingColumns=True)
