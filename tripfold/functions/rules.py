@@ -2,13 +2,16 @@
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import add
 from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+RULES_PER_LIST = 5
+
+
 class Rule(NamedTuple):
     code: str
     condition: Column
@@ -17,13 +20,28 @@ class Rule(NamedTuple):
 def tag(rules: Sequence[Rule]) -> Column:
     """Codes of all rules whose condition is true, in rule order.
 
-    A NULL condition yields no code.  No rules, or none firing, gives ``[]``; most
-    records end there, so the array is built only once some rule has fired.  Empty
-    strings stand in for the rules that did not: dropping them by value stays inside
-    generated code, which filtering with a lambda would leave."""
-    none = F.array().cast("array<string>")
-    if not rules:
-        return none
-    codes = F.array(*[F.when(rule.condition, rule.code).otherwise("") for rule in rules])
-    some = reduce(or_, [rule.condition for rule in rules])
-    return F.when(some, F.array_remove(codes, "")).otherwise(none)
+    A NULL condition yields no code.  No rules, or none firing, gives ``[]``.  The
+    conditions only set bits of a number, and the number picks one of the possible code
+    lists, which are literals.  No array is built per record, and the generated code
+    stays small: past 8000 bytes a method is no longer compiled by the JVM, and a stage
+    that carries two dozen rules and projections gets there when arrays are assembled in
+    place.  Lists are kept to a few rules each, since their number doubles with each."""
+    parts = [
+        _pick(rules[start : start + RULES_PER_LIST])
+        for start in range(0, len(rules), RULES_PER_LIST)
+    ]
+    if not parts:
+        return F.array().cast("array<string>")
+    return parts[0] if len(parts) == 1 else F.concat(*parts)
+
+
+def _pick(rules: Sequence[Rule]) -> Column:
+    lists = [
+        [rule.code for bit, rule in enumerate(rules) if fired >> bit & 1]
+        for fired in range(1 << len(rules))
+    ]
+    literals = F.array(*[F.array(*map(F.lit, codes)).cast("array<string>") for codes in lists])
+    fired = reduce(
+        add, [F.when(rule.condition, 1 << bit).otherwise(0) for bit, rule in enumerate(rules)]
+    )
+    return F.get(literals, fired)
