@@ -1,5 +1,6 @@
 """Ordered (condition, code) rules rendered as one array<string> column."""
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 from operator import add
@@ -40,8 +41,15 @@ def _pick(rules: Sequence[Rule]) -> Column:
         [rule.code for bit, rule in enumerate(rules) if fired >> bit & 1]
         for fired in range(1 << len(rules))
     ]
-    literals = F.array(*[F.array(*map(F.lit, codes)).cast("array<string>") for codes in lists])
+    # As one piece of SQL text, since each Column call would cross to the JVM.
+    literals = ", ".join(f"array({', '.join(map(_quoted, codes))})" for codes in lists)
     fired = reduce(
         add, [F.when(rule.condition, 1 << bit).otherwise(0) for bit, rule in enumerate(rules)]
     )
-    return F.get(literals, fired)
+    return F.get(F.expr(f"cast(array({literals}) AS array<array<string>>)"), fired)
+
+
+def _quoted(code: str) -> str:
+    if not re.fullmatch("[A-Za-z0-9_]+", code):
+        raise ValueError(f"not a plain rule code: {code!r}")
+    return f"'{code}'"

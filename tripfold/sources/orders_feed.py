@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripfold.functions.lookups import fits_broadcast
-from tripfold.functions.months import month_of
 from tripfold.sources.landing import filename_column
 
 ORDERS_LIMIT_BYTES = 32 * 1024 * 1024  # by key width; the joined row is about three times that
@@ -39,14 +38,13 @@ def placed_orders(spark: SparkSession, folder: str) -> DataFrame:
     orders = read_table(spark, folder, "orders").join(
         read_table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey")
     )
-    hours = (F.col("o_orderkey") % 24).cast("int")
-    return orders.select(
+    return orders.selectExpr(
         "o_orderkey",
         "o_orderstatus",
         "c_mktsegment",
         "c_nationkey",
-        (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), hours)).alias("placed_at"),
-        month_of(F.col("o_orderdate")).alias("source_month"),
+        "o_orderdate + make_dt_interval(0, int(o_orderkey % 24)) AS placed_at",
+        "date_format(date(o_orderdate), 'yyyy-MM') AS source_month",
     )
 
 
@@ -64,32 +62,40 @@ def raw_trips(spark: SparkSession, folder: str) -> DataFrame:
         read_table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")
     )
 
-    base = F.when(
-        F.col("l_linenumber") == 1, F.col("placed_at") - F.expr("interval 1 day")
-    ).otherwise(F.col("placed_at"))
-    offset = (
-        7 * F.col("l_partkey") + 13 * F.col("l_suppkey") + 101 * F.col("l_linenumber")
-    ) % 14400 - 600
-    fare = F.floor(F.col("l_extendedprice") / 200).cast("double")
-    unpriced = F.col("l_partkey") % 50 == 0
-    refunded = (F.col("l_linenumber") == 7) & (F.col("l_partkey") % 3 == 0)
-
-    return joined.select(
-        F.when(F.col("l_orderkey") % 97 != 0, base).alias("tpep_pickup_datetime"),
-        (base + F.expr("interval 1 second") * offset).alias("tpep_dropoff_datetime"),
-        F.col("c_nationkey").alias("PULocationID"),
-        F.col("s_nationkey").alias("DOLocationID"),
-        (2.5 * F.col("l_quantity") - 5).alias("trip_distance"),
-        F.when(~unpriced, F.when(refunded, -fare).otherwise(fare)).alias("fare_amount"),
-        F.when(~unpriced, F.when(refunded, -fare).otherwise(fare + 2)).alias("total_amount"),
-        "l_returnflag",
-        "l_linestatus",
-        "o_orderstatus",
-        "c_mktsegment",
-        "source_month",
-        filename_column(F.col("source_month")).alias("source_filename"),
-        F.current_timestamp().alias("ingested_at"),
-        F.lit("feed").alias("ingestion_run_id"),
+    fare = "double(floor(l_extendedprice / 200))"
+    unpriced = "l_partkey % 50 = 0"
+    refunded = "l_linenumber = 7 AND l_partkey % 3 = 0"
+    return (
+        joined.selectExpr(
+            "*",
+            "CASE WHEN l_linenumber = 1 THEN placed_at - interval 1 day ELSE placed_at END AS base",
+            f"CASE WHEN {unpriced} THEN NULL WHEN {refunded} THEN -{fare} ELSE {fare} END "
+            "AS fare_amount",
+            f"CASE WHEN {unpriced} THEN NULL WHEN {refunded} THEN -{fare} ELSE {fare} + 2 END "
+            "AS total_amount",
+        )
+        .selectExpr(
+            "CASE WHEN l_orderkey % 97 <> 0 THEN base END AS tpep_pickup_datetime",
+            "base + interval 1 second * "
+            "((7 * l_partkey + 13 * l_suppkey + 101 * l_linenumber) % 14400 - 600) "
+            "AS tpep_dropoff_datetime",
+            "c_nationkey AS PULocationID",
+            "s_nationkey AS DOLocationID",
+            "2.5d * l_quantity - 5 AS trip_distance",
+            "fare_amount",
+            "total_amount",
+            "l_returnflag",
+            "l_linestatus",
+            "o_orderstatus",
+            "c_mktsegment",
+            "source_month",
+        )
+        .select(
+            "*",
+            filename_column(F.col("source_month")).alias("source_filename"),
+            F.current_timestamp().alias("ingested_at"),
+            F.lit("feed").alias("ingestion_run_id"),
+        )
     )
 
 
@@ -98,28 +104,24 @@ def places(spark: SparkSession, folder: str) -> DataFrame:
 
     The span comes from a scalar aggregate and each nation row is repeated by a
     generator, so no two inputs are paired."""
-    span = read_table(spark, folder, "orders").agg(
-        F.struct(
-            F.min("o_orderdate").cast("date").alias("first"),
-            F.max("o_orderdate").cast("date").alias("last"),
-        ).alias("span")
-    )
-    months = F.sequence(
-        F.trunc(F.col("span.first"), "month"),
-        F.trunc(F.col("span.last"), "month"),
-        F.expr("interval 1 month"),
+    span = read_table(spark, folder, "orders").selectExpr(
+        "struct(date(min(o_orderdate)) AS first, date(max(o_orderdate)) AS last) AS span"
     )
     return (
         read_table(spark, folder, "nation")
-        .where(F.col("n_nationkey") != UNKNOWN_PLACE)
+        .where(f"n_nationkey <> {UNKNOWN_PLACE}")
         .join(read_table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .withColumn("span", span.scalar())
-        .withColumn("month", F.explode(months))
-        .select(
-            F.col("n_nationkey").alias("zone_id"),
-            F.col("r_name").alias("borough"),
-            F.col("n_name").alias("zone_name"),
-            F.lit(SERVICE_ZONE).alias("service_zone"),
-            F.date_format("month", "yyyy-MM").alias("source_month"),
+        .selectExpr(
+            "*",
+            "explode(sequence(trunc(span.first, 'month'), trunc(span.last, 'month'), "
+            "interval 1 month)) AS month",
+        )
+        .selectExpr(
+            "n_nationkey AS zone_id",
+            "r_name AS borough",
+            "n_name AS zone_name",
+            f"'{SERVICE_ZONE}' AS service_zone",
+            "date_format(month, 'yyyy-MM') AS source_month",
         )
     )
