@@ -135,6 +135,14 @@ def test_whole_table_replacement_and_views(store):
     assert store.exists("gold", "v") and not store.exists("gold", "nothing")
 
 
+def test_an_aggregate_is_written_as_few_files_per_month(store):
+    frame = store.spark.range(1000, numPartitions=8).select(
+        "id", F.format_string("2026-%02d", F.col("id") % 3 + 1).alias("source_month")
+    )
+    table = store.replace_table(frame, "gold", "few", rebalance=True)
+    assert table.count() == 1000 and len(table.inputFiles()) == 3
+
+
 def test_tables_carry_dictionary_comments(store):
     store.replace_month(raw_frame(store.spark, SEVEN), "bronze", "yellow_trips", "2026-01")
     described = {

@@ -1,6 +1,7 @@
 """Session defaults the package is tuned for."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,18 +24,22 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
     return builder.getOrCreate()
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor sees, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of its own."""
+    Only a session on one machine may fall back to a folder of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="tripfold-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tripfold-")
+    return _local_folders[context.applicationId]
 
 
 def stage(frame: DataFrame, name: str) -> DataFrame:
@@ -42,8 +47,6 @@ def stage(frame: DataFrame, name: str) -> DataFrame:
 
     For a result that several branches of one report consume: the branches scan only
     the columns they need, and a lost executor costs a re-read, not a recomputation."""
-    import uuid
-
     path = f"{shared_folder(frame.sparkSession)}/{name}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)

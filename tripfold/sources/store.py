@@ -122,9 +122,17 @@ class MonthStore:
         frame.write.format(self.config.table_format).mode("overwrite").saveAsTable(staging)
         self.replace_month(self.spark.table(staging), layer, name, month)
 
-    def replace_table(self, frame: DataFrame, layer: str, name: str) -> DataFrame:
-        """Create or replace a whole table; months become partitions where present."""
+    def replace_table(
+        self, frame: DataFrame, layer: str, name: str, rebalance: bool = False
+    ) -> DataFrame:
+        """Create or replace a whole table; months become partitions where present.
+
+        ``rebalance`` is for aggregates: their rows are spread by group key, so without
+        it every task would write a small file into every month.  Adaptive execution
+        merges small months into one task and splits a large one over several."""
         target = self.config.table(layer, name)
+        if rebalance and "source_month" in frame.columns:
+            frame = frame.hint("rebalance", "source_month")
         writer = with_comments(frame).write.format(self.config.table_format).mode("overwrite")
         if "source_month" in frame.columns:
             writer = writer.partitionBy("source_month")
