@@ -8,15 +8,18 @@ enough to post the rarest ones: any two documents that share MATCHES tokens meet
 one of their prefixes.  Where they meet, collisions of the whole signatures are counted, and
 pairs that have enough are confirmed on the full sets.
 
-Only connections are asked for, so each list is first met with its least document, and
-then only lists that still hold several components are compared, in blocks, and only
-across components."""
+Only connections are asked for, so each list is first met with its least document.  Of the
+lists that then still hold several components, short ones give their pairs across
+components, at most a few for each posting.  The documents of long ones are put in tiles
+beside those they meet, and tiles that meet in a list are compared as wholes: the task
+holds signatures and sets, tests only what is not yet connected, and returns a forest."""
 
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +31,10 @@ COORDINATES = 64
 #: below one in ten million.
 MATCHES = 30
 PERCENT = 75
-BLOCK_ROWS = 256
+SHORT_LIST = 8
+TILE_ROWS = 256
+TILE_BYTES = 2 << 20
+PAIRS_A_TASK = 8
 BROADCAST_BYTES = 32 << 20
 
 
@@ -127,18 +133,16 @@ def _sizes_allow(one: str, other: str):
     return F.least(one, other) * 100 >= F.greatest(one, other) * PERCENT
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs whose full sets are similar enough, from the texts themselves.
+def _sets(wanted: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+    """doc_id and hashes of the wanted documents, from the texts themselves.
 
-    Sets are made again for the documents of these pairs only, which costs a second scan
-    instead of storing the sets of all documents."""
-    wanted = frames.staged(
-        pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted"
-    )
+    Sets are made again for these documents only, which costs a second scan instead of
+    storing the sets of all documents."""
+    wanted = frames.staged(wanted, f"{name}-wanted")
     small = wanted.count() * 16 <= BROADCAST_BYTES
     rows = docs.join(F.broadcast(wanted) if small else wanted, "doc_id", "left_semi")
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in frames.slices(batches):
             data = [
                 shingles.shingle_set(text).astype("<u8").tobytes()
@@ -148,8 +152,15 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 [batch.column("doc_id"), pa.array(data, pa.binary())], ["doc_id", "hashes"]
             )
 
-    # Of rows that repeat an identifier any set that is similar makes the link.
-    found = frames.staged(rows.mapInArrow(sets, "doc_id bigint, hashes binary"), "sets")
+    return frames.staged(rows.mapInArrow(run, "doc_id bigint, hashes binary"), name)
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs whose full sets are similar enough.
+
+    Of rows that repeat an identifier any set that is similar makes the link."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    found = _sets(wanted, docs, "sets")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in frames.slices(batches):
@@ -175,87 +186,201 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     )
 
 
-def _across(postings: DataFrame, reached: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs of different components that meet in a list and agree often enough.
-
-    ``postings`` has token, rep and n.  A list is dealt out in blocks of some hundred
-    rows, and each pair of blocks is one small group of its own."""
+def _open_lists(postings: DataFrame, reached: DataFrame) -> DataFrame:
+    """token, rep, n and component of lists that hold several components."""
     named = postings.join(reached, F.col("rep") == F.col("node"), "left").select(
         "token", "rep", "n", F.coalesce("component", "rep").alias("component")
     )
-    open_lists = (
+    mixed = (
         named.groupBy("token")
         .agg(F.min("component").alias("least"), F.max("component").alias("most"))
         .where("least <> most")
         .select("token")
     )
-    blocks = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
+    return named.join(mixed, "token", "left_semi")
+
+
+def _across(short: DataFrame) -> DataFrame:
+    """Pairs of different components in short lists, at most SHORT_LIST - 1 a posting."""
+    one = short.select("token", F.col("rep").alias("a"), F.col("component").alias("of_a"))
+    other = short.select("token", F.col("rep").alias("b"), F.col("component").alias("of_b"))
+    return one.join(other, "token").where("a < b AND of_a <> of_b").select("a", "b").distinct()
+
+
+def _tiles(long: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The documents of long lists in tiles: tile, ids, components, signatures, ends, hashes.
+
+    Documents that meet in some list stand together, those of one component side by side,
+    so that most pairs of tiles lie within a component or never meet."""
+    leaders = long.groupBy("token").agg(F.min("rep").alias("leader"))
+    meet = components(long.join(leaders, "token").where("rep <> leader"), "rep", "leader")
+    rows = long.select("rep", "component").distinct()
+    sets = _sets(rows.select(F.col("rep").alias("doc_id")).distinct(), docs, "tile-sets")
     rows = (
-        named.join(open_lists, "token", "left_semi")
+        rows.join(meet.withColumnsRenamed({"node": "rep", "component": "label"}), "rep")
         .join(reps.select("rep", "signature"), "rep")
-        .withColumn("own", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-        .withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select(
+        .join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    )
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, held, size = TaskContext.get().partitionId() << 32, [], 0
+
+        def done() -> pa.RecordBatch:
+            ends = np.cumsum([len(row["hashes"]) // 8 for row in held])
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([tile], pa.int64()),
+                    *[
+                        pa.array([np.array([r[c] for r in held], "<i8").tobytes()], pa.binary())
+                        for c in ("rep", "component")
+                    ],
+                    pa.array([b"".join(row["signature"] for row in held)], pa.binary()),
+                    pa.array([ends.astype("<i8").tobytes()], pa.binary()),
+                    pa.array([b"".join(row["hashes"] for row in held)], pa.binary()),
+                ],
+                ["tile", "ids", "components", "signatures", "ends", "hashes"],
+            )
+
+        for batch in frames.slices(batches):
+            for row in batch.to_pylist():
+                if held and (len(held) >= TILE_ROWS or size + len(row["hashes"]) > TILE_BYTES):
+                    yield done()
+                    tile, held, size = tile + 1, [], 0
+                held.append(row)
+                size += len(row["hashes"])
+        if held:
+            yield done()
+
+    order = ["label", "component", "rep"]
+    dealt = rows.repartitionByRange(
+        max(1, sets.count() // (4 * TILE_ROWS)), *order
+    ).sortWithinPartitions(*order)
+    schema = "tile bigint, " + ", ".join(
+        f"{c} binary" for c in ("ids", "components", "signatures", "ends", "hashes")
+    )
+    columns = ["rep", "component", "signature", "hashes"]
+    return frames.staged(dealt.select(*columns).mapInArrow(pack, schema), "text-tiles")
+
+
+def _tile_links(long: DataFrame, tiles: DataFrame) -> DataFrame:
+    """Confirmed links between components, a forest for each pair of tiles that meet."""
+
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for tile, ids, own in zip(
+                *[batch.column(c).to_pylist() for c in ("tile", "ids", "components")], strict=True
+            ):
+                ids, own = np.frombuffer(ids, "<i8"), np.frombuffer(own, "<i8")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(ids), tile)), pa.array(ids), pa.array(own)],
+                    ["tile", "rep", "component"],
+                )
+
+    of_rep = tiles.select("tile", "ids", "components").mapInArrow(
+        members, "tile bigint, rep bigint, component bigint"
+    )
+    # A tile of one component, seen as a pair with the like, has nothing to connect.
+    in_list = (
+        long.select("token", "rep")
+        .join(of_rep, "rep")
+        .groupBy("token", "tile")
+        .agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    )
+    pairs = (
+        in_list.select("token", F.col("tile").alias("x"), "least", "most")
+        .join(
+            in_list.select(
+                "token",
+                F.col("tile").alias("y"),
+                F.col("least").alias("least_y"),
+                F.col("most").alias("most_y"),
+            ),
             "token",
-            F.least("own", "with").alias("i"),
-            F.greatest("own", "with").alias("j"),
-            "own",
-            "rep",
-            "component",
-            "signature",
         )
+        .where("x <= y AND NOT (least = most AND least_y = most_y AND least = least_y)")
+        .select("x", "y")
+        .distinct()
     )
-    keys = ["token", "i", "j"]
-
-    def group(parts: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        signed = parts["signature"]
-        counts = np.zeros((len(signed), len(signed)), dtype=np.uint8)
-        for k in range(COORDINATES):
-            counts += signed[:, k, None] == signed[None, :, k]
-        enough = counts >= MATCHES
-        enough &= parts["component"][:, None] != parts["component"][None, :]
-        enough &= parts["rep"][:, None] < parts["rep"][None, :]
-        if parts["i"][0] != parts["j"][0]:
-            enough &= parts["own"][:, None] != parts["own"][None, :]
-        one, other = np.nonzero(enough)
-        return parts["rep"][one], parts["rep"][other]
+    pairs = frames.staged(pairs, "text-tile-pairs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            now = {
-                c: batch.column(c).to_numpy() for c in (*keys, "own", "rep", "component")
-            }
-            now["signature"] = np.frombuffer(
-                b"".join(batch.column("signature").to_pylist()), dtype="<u4"
-            ).reshape(-1, COORDINATES)
-            if held is not None:
-                now = {c: np.concatenate([held[c], now[c]]) for c in now}
-            change = np.zeros(len(now["rep"]), dtype=bool)
-            for c in keys:
-                change[1:] |= now[c][1:] != now[c][:-1]
-            cuts = [0, *np.flatnonzero(change).tolist()]
-            yield from _pairs_of(now, cuts, group)
-            held = {c: values[cuts[-1] :].copy() for c, values in now.items()}
-        if held is not None:
-            yield from _pairs_of(held, [0, len(held["rep"])], group)
-
-    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartition(width, *keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
-
-
-def _pairs_of(rows, cuts, group) -> Iterator[pa.RecordBatch]:
-    found = [
-        group({c: values[start:end] for c, values in rows.items()})
-        for start, end in zip(cuts, cuts[1:], strict=False)
-        if end - start > 1
-    ]
-    if found:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([pair[k] for pair in found])) for k in range(2)], ["a", "b"]
+        for batch in frames.slices(batches, 1):
+            row = batch.to_pylist()[0]
+            one = _Tile(row, "x")
+            found = _forest(one, one if row["x"] == row["y"] else _Tile(row, "y"))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([pair[k] for pair in found], pa.int64()) for k in range(2)], ["a", "b"]
+            )
+
+    def side(name):
+        return tiles.select(
+            F.col("tile").alias(name),
+            *[F.col(c).alias(f"{c}_{name}") for c in tiles.columns if c != "tile"],
         )
 
+    blocks = pairs.join(side("x"), "x").join(side("y"), "y")
+    tasks = max(1, -(-pairs.count() // PAIRS_A_TASK))
+    return blocks.repartition(tasks, "x", "y").mapInArrow(run, "a bigint, b bigint")
+
+
+class _Tile:
+    def __init__(self, row: dict, side: str):
+        self.ids = np.frombuffer(row[f"ids_{side}"], "<i8")
+        self.components = np.frombuffer(row[f"components_{side}"], "<i8")
+        self.signatures = np.frombuffer(row[f"signatures_{side}"], "<u4").reshape(-1, COORDINATES)
+        ends = np.frombuffer(row[f"ends_{side}"], "<i8")
+        self.hashes = np.frombuffer(row[f"hashes_{side}"], "<u8")
+        self.starts, self.sizes = ends - np.diff(ends, prepend=0), np.diff(ends, prepend=0)
+
+    def set_of(self, k: int) -> np.ndarray:
+        return self.hashes[self.starts[k] : self.starts[k] + self.sizes[k]]
+
+
+def _forest(one: _Tile, other: _Tile) -> list[tuple[int, int]]:
+    """Links between the tiles that connect all components linked between them."""
+    collisions = np.zeros((len(one.ids), len(other.ids)), dtype=np.uint8)
+    for k in range(COORDINATES):
+        collisions += one.signatures[:, k, None] == other.signatures[None, :, k]
+    small = np.minimum(one.sizes[:, None], other.sizes[None, :])
+    large = np.maximum(one.sizes[:, None], other.sizes[None, :])
+    possible = (collisions >= MATCHES) & (small * 100 >= large * PERCENT)
+    labels = {c: c for c in {*one.components.tolist(), *other.components.tolist()}}
+    now = other.components.copy()  # the label of each row of the other tile, kept current
+    found = []
+    for row in range(len(one.ids)):
+        own = labels[int(one.components[row])]
+        columns = np.flatnonzero(possible[row] & (now != own))
+        if not len(columns):
+            continue
+        own_set = one.set_of(row)
+        # The best candidate alone first: it often connects the row to most of the others.
+        best = columns[np.argmax(collisions[row, columns])]
+        for some in (np.array([best]), columns):
+            some = some[now[some] != own]
+            if not len(some):
+                continue
+            counts = _common_with(own_set, other, some)
+            union = len(own_set) + other.sizes[some] - counts
+            for column in some[100 * counts >= PERCENT * union].tolist():
+                gone = int(now[column])
+                if gone != own:
+                    found.append((int(one.ids[row]), int(other.ids[column])))
+                    now[now == gone] = own
+                    for name, label in labels.items():
+                        if label == gone:
+                            labels[name] = own
+    return found
+
+
+def _common_with(own: np.ndarray, tile: _Tile, rows: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of a sorted set with sets of a tile."""
+    sizes = tile.sizes[rows]
+    starts = np.cumsum(sizes) - sizes
+    at = np.arange(sizes.sum()) - np.repeat(starts - tile.starts[rows], sizes)
+    values = tile.hashes[at]
+    place = np.minimum(np.searchsorted(own, values), len(own) - 1)
+    return np.add.reduceat((own[place] == values).astype(np.int64), starts)
+
 
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
@@ -304,14 +429,13 @@ def near_duplicates(
     reached = components(links, "a", "b")
 
     # Lists of two have been compared; longer ones may hold further components.
-    more = frames.staged(
-        _across(postings.where("n > 2").select("token", "rep", "n"), reached, reps)
-        .join(first, ["a", "b"], "left_anti"),
-        "more-pairs",
-    )
-    everything = copies.unionByName(links)
-    if not more.isEmpty():
-        everything = everything.unionByName(_confirmed(more, docs))
+    mixed = frames.staged(_open_lists(postings.where("n > 2"), reached), "open-lists")
+    more = _across(mixed.where(F.col("n") <= SHORT_LIST)).join(first, ["a", "b"], "left_anti")
+    more = frames.staged(_collisions(more, reps), "more-pairs")
+    everything = copies.unionByName(links).unionByName(_confirmed(more, docs))
+    long = mixed.where(F.col("n") > SHORT_LIST)
+    if not long.isEmpty():
+        everything = everything.unionByName(_tile_links(long, _tiles(long, docs, reps)))
     final = components(everything, "a", "b")
     component = F.when(
         F.col("doc_id").isNotNull(), F.coalesce(F.col("component"), F.col("doc_id"))
