@@ -222,6 +222,9 @@ def _tiles(long: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
         .join(sets.withColumnRenamed("doc_id", "rep"), "rep")
     )
 
+    blocks = ["ids", "components", "signatures", "ends", "hashes"]
+    meets = pa.struct([(name, pa.int64()) for name in ("label", "least", "most")])
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tile, held, size = TaskContext.get().partitionId() << 32, [], 0
 
@@ -237,8 +240,9 @@ def _tiles(long: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
                     pa.array([b"".join(row["signature"] for row in held)], pa.binary()),
                     pa.array([ends.astype("<i8").tobytes()], pa.binary()),
                     pa.array([b"".join(row["hashes"] for row in held)], pa.binary()),
+                    pa.array([_meets(held)], pa.list_(meets)),
                 ],
-                ["tile", "ids", "components", "signatures", "ends", "hashes"],
+                ["tile", *blocks, "meets"],
             )
 
         for batch in frames.slices(batches):
@@ -255,47 +259,38 @@ def _tiles(long: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
     dealt = rows.repartitionByRange(
         max(1, sets.count() // (4 * TILE_ROWS)), *order
     ).sortWithinPartitions(*order)
-    schema = "tile bigint, " + ", ".join(
-        f"{c} binary" for c in ("ids", "components", "signatures", "ends", "hashes")
-    )
-    columns = ["rep", "component", "signature", "hashes"]
+    schema = "tile bigint, " + ", ".join(f"{c} binary" for c in blocks)
+    schema += ", meets array<struct<label:bigint,least:bigint,most:bigint>>"
+    columns = ["rep", "component", "label", "signature", "hashes"]
     return frames.staged(dealt.select(*columns).mapInArrow(pack, schema), "text-tiles")
 
 
-def _tile_links(long: DataFrame, tiles: DataFrame) -> DataFrame:
-    """Confirmed links between components, a forest for each pair of tiles that meet."""
+def _meets(rows: list[dict]) -> list[dict]:
+    """For each group of documents that lists connect the range of its components."""
+    found: dict[int, list[int]] = {}
+    for row in rows:
+        found.setdefault(row["label"], []).append(row["component"])
+    return [
+        {"label": label, "least": min(own), "most": max(own)} for label, own in found.items()
+    ]
 
-    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for tile, ids, own in zip(
-                *[batch.column(c).to_pylist() for c in ("tile", "ids", "components")], strict=True
-            ):
-                ids, own = np.frombuffer(ids, "<i8"), np.frombuffer(own, "<i8")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(ids), tile)), pa.array(ids), pa.array(own)],
-                    ["tile", "rep", "component"],
-                )
 
-    of_rep = tiles.select("tile", "ids", "components").mapInArrow(
-        members, "tile bigint, rep bigint, component bigint"
-    )
-    # A tile of one component, seen as a pair with the like, has nothing to connect.
-    in_list = (
-        long.select("token", "rep")
-        .join(of_rep, "rep")
-        .groupBy("token", "tile")
-        .agg(F.min("component").alias("least"), F.max("component").alias("most"))
-    )
+def _tile_links(tiles: DataFrame) -> DataFrame:
+    """Confirmed links between components, a forest for each pair of tiles that meet.
+
+    Tiles meet if they hold documents that lists connect; a pair that lies within one
+    component has nothing to connect."""
+    meeting = tiles.select("tile", F.explode("meets").alias("m")).select("tile", "m.*")
     pairs = (
-        in_list.select("token", F.col("tile").alias("x"), "least", "most")
+        meeting.select("label", F.col("tile").alias("x"), "least", "most")
         .join(
-            in_list.select(
-                "token",
+            meeting.select(
+                "label",
                 F.col("tile").alias("y"),
                 F.col("least").alias("least_y"),
                 F.col("most").alias("most_y"),
             ),
-            "token",
+            "label",
         )
         .where("x <= y AND NOT (least = most AND least_y = most_y AND least = least_y)")
         .select("x", "y")
@@ -315,7 +310,7 @@ def _tile_links(long: DataFrame, tiles: DataFrame) -> DataFrame:
     def side(name):
         return tiles.select(
             F.col("tile").alias(name),
-            *[F.col(c).alias(f"{c}_{name}") for c in tiles.columns if c != "tile"],
+            *[F.col(c).alias(f"{c}_{name}") for c in tiles.columns if c not in ("tile", "meets")],
         )
 
     blocks = pairs.join(side("x"), "x").join(side("y"), "y")
@@ -435,7 +430,7 @@ def near_duplicates(
     everything = copies.unionByName(links).unionByName(_confirmed(more, docs))
     long = mixed.where(F.col("n") > SHORT_LIST)
     if not long.isEmpty():
-        everything = everything.unionByName(_tile_links(long, _tiles(long, docs, reps)))
+        everything = everything.unionByName(_tile_links(_tiles(long, docs, reps)))
     final = components(everything, "a", "b")
     component = F.when(
         F.col("doc_id").isNotNull(), F.coalesce(F.col("component"), F.col("doc_id"))
