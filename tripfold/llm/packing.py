@@ -48,31 +48,64 @@ def _library(path: str):
 
 
 @lru_cache(maxsize=1)
-def _known(path: str) -> dict[str, bytes]:
-    return {}
+def _known(path: str) -> tuple[dict[str, bytes], dict[str, bytes]]:
+    """What chunks and parts of chunks encode to, remembered for the worker's life."""
+    return {}, {}
 
 
 KNOWN_LIMIT = 500_000
+PARTS_A_CALL = 500
+
+
+def _encode_parts(parts: list[str], path: str) -> list[bytes]:
+    """The library's ids of each part: one call for many, told apart by word numbers."""
+    library, result = _library(path), []
+    for start in range(0, len(parts), PARTS_A_CALL):
+        some = parts[start : start + PARTS_A_CALL]
+        coded = library.encode(" ".join(some), add_special_tokens=False)
+        numbers = np.array(coded.word_ids, dtype=np.float64)  # not a number for no word
+        cuts = np.searchsorted(numbers, np.arange(len(some) + 1)) * 4
+        data = np.array(coded.ids, dtype="<u4").tobytes()
+        if len(numbers) and numbers[-1] == len(some) - 1 and (np.diff(cuts) > 0).all():
+            result += [data[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False)]
+        else:  # some part is no single word to the library
+            alone = library.encode_batch_fast(some, add_special_tokens=False)
+            result += [np.array(one.ids, dtype="<u4").tobytes() for one in alone]
+    return result
+
+
+def _encode_chunks(chunks: list[str], path: str, of_part: dict[str, bytes]) -> list[bytes]:
+    """Ids of chunks from those of their parts; special strings are left to the library."""
+    split = [None if "<|" in chunk else words.parts(chunk) for chunk in chunks]
+    fresh = list({part for parts in split if parts for part in parts if part not in of_part})
+    of_part.update(zip(fresh, _encode_parts(fresh, path), strict=True))
+    special = iter(
+        _library(path).encode_batch_fast(
+            [c for c, parts in zip(chunks, split, strict=True) if parts is None],
+            add_special_tokens=False,
+        )
+    )
+    return [
+        np.array(next(special).ids, dtype="<u4").tobytes()
+        if parts is None
+        else b"".join([of_part[part] for part in parts])
+        for parts in split
+    ]
 
 
 def token_bytes(texts: list[str], path: str) -> list[bytes]:
     """The library's ids of each text, as little-endian unsigned 32-bit numbers.
 
-    The vocabulary drops white space and never joins across it, so chunks between white
-    space are encoded once, in bulk, and remembered."""
-    known = _known(path)
+    The vocabulary drops white space and never joins across it, nor across the parts of
+    its own pattern, so each part is encoded once, in bulk, and remembered."""
+    of_chunk, of_part = _known(path)
+    for known in (of_chunk, of_part):
+        if len(known) > KNOWN_LIMIT:
+            known.clear()
     split = [words.chunks(text) for text in texts]
-    if len(known) > KNOWN_LIMIT:
-        known.clear()
-    fresh = list({chunk for chunks in split for chunk in chunks if chunk not in known})
-    if fresh:
-        for start in range(0, len(fresh), 2000):
-            part = fresh[start : start + 2000]
-            for chunk, coded in zip(
-                part, _library(path).encode_batch_fast(part, add_special_tokens=False), strict=True
-            ):
-                known[chunk] = np.array(coded.ids, dtype="<u4").tobytes()
-    return [b"".join([known[chunk] for chunk in chunks]) for chunks in split]
+    fresh = list({chunk for chunks in split for chunk in chunks if chunk not in of_chunk})
+    of_chunk.update(zip(fresh, _encode_chunks(fresh, path, of_part), strict=True))
+    return [b"".join([of_chunk[chunk] for chunk in chunks]) for chunks in split]
 
 
 def tokenised_pieces(
