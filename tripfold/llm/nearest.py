@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 from tripfold.llm import frames, vectors
 
 TILES_A_GROUP = 8
+LEAST_GROUPS = 8
 BLOCK = 512  # queries compared at a time
 
 
@@ -160,8 +161,9 @@ def _best_of_groups(
     tiles = _tiles(found, dimension, kind, "candidate-tiles")
     asked = _tiles(queries, dimension, kind, "query-tiles")
     count, query_tiles = tiles.count(), asked.count()
-    # One group for each task at least; then as many tiles a group as keeps results few.
-    groups = max(1, min(count, 24), -(-count // TILES_A_GROUP))
+    # Some groups to share the work; then so many rows a group that results stay few.
+    rows = TILES_A_GROUP * vectors.tile_rows(dimension, kind)
+    groups = max(1, min(count, LEAST_GROUPS), -(-found.count() // rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(heaps: _Heaps) -> pa.RecordBatch:
