@@ -156,7 +156,7 @@ def learn(
                 [batch.column("lang"), pa.array(rows, pa.binary())], ["lang", "features"]
             )
 
-    sample = labelled.join(chosen, "doc_id", "left_semi").select("text", "lang")
+    sample = labelled.join(F.broadcast(chosen), "doc_id", "left_semi").select("text", "lang")
     found = sample.mapInArrow(run, "lang string, features binary").toArrow().to_pydict()
     matrix = np.array(
         [np.frombuffer(row, dtype=np.float16) for row in found["features"]], dtype=np.float32
