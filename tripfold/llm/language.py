@@ -43,21 +43,24 @@ def has_letters(text: str) -> bool:
     return any(map(str.isalpha, text))
 
 
-def fit_machine(rows: np.ndarray, signs: np.ndarray, seed: int) -> np.ndarray:
+def fit_machine(
+    rows: np.ndarray, chosen: np.ndarray, signs: np.ndarray, seed: int
+) -> np.ndarray:
     """A linear support vector machine by averaged subgradient steps on balanced classes.
 
-    The last weight is the bias."""
+    It learns from the ``chosen`` rows, which stay in half precision but for the few of
+    each step.  The last weight is the bias."""
     random = np.random.default_rng(seed)
-    padded = np.hstack([rows, np.ones((len(rows), 1), dtype=np.float32)])
     share = np.where(signs > 0, (signs > 0).mean(), (signs < 0).mean())
     importance = 0.5 / share
-    weights = np.zeros(padded.shape[1])
+    weights = np.zeros(rows.shape[1] + 1)
     mean, steps, decay = np.zeros_like(weights), 0, 1e-4
     for epoch in range(EPOCHS):
-        order = random.permutation(len(rows))
+        order = random.permutation(len(chosen))
         for start in range(0, len(order), 64):
             part = order[start : start + 64]
-            x, y = padded[part], signs[part]
+            x, y = np.ones((len(part), len(weights)), dtype=np.float32), signs[part]
+            x[:, :-1] = rows[chosen[part]]
             pull = np.where(y * (x @ weights) < 1, y * importance[part], 0)
             rate = 2.0 / (1 + 0.05 * steps)
             weights = (1 - rate * decay) * weights + rate * (pull @ x) / len(part)
@@ -83,7 +86,7 @@ class Model:
         }
         self.family_machines = np.array(
             [
-                fit_machine(rows, np.where(groups == f, 1.0, -1.0), k)
+                fit_machine(rows, np.arange(len(rows)), np.where(groups == f, 1.0, -1.0), k)
                 for k, f in enumerate(self.families if len(self.families) > 1 else [])
             ],
             dtype=np.float32,
@@ -91,9 +94,9 @@ class Model:
         self.pair_machines = {}
         for members in self.members.values():
             for one, other in combinations(members, 2):
-                of_pair = (labels == one) | (labels == other)
+                of_pair = np.flatnonzero((labels == one) | (labels == other))
                 signs = np.where(labels[of_pair] == one, 1.0, -1.0)
-                self.pair_machines[one, other] = fit_machine(rows[of_pair], signs, 0)
+                self.pair_machines[one, other] = fit_machine(rows, of_pair, signs, 0)
 
     def predict(self, text: str) -> tuple[str, float]:
         """Language and score; the score multiplies the confidences of both levels."""
@@ -157,12 +160,15 @@ def learn(
             )
 
     sample = labelled.join(F.broadcast(chosen), "doc_id", "left_semi").select("text", "lang")
-    found = sample.mapInArrow(run, "lang string, features binary").toArrow().to_pydict()
-    matrix = np.array(
-        [np.frombuffer(row, dtype=np.float16) for row in found["features"]], dtype=np.float32
-    ).reshape(-1, BUCKETS)
-    order = np.lexsort([*matrix[:, :8].T, np.array(found["lang"])]) if len(matrix) else []
-    return Model(matrix[order], [found["lang"][k] for k in order])
+    table = sample.mapInArrow(run, "lang string, features binary").toArrow()
+    table = table.sort_by([("lang", "ascending"), ("features", "ascending")])
+    matrix = np.empty((table.num_rows, BUCKETS), dtype=np.float16)
+    for k, row in enumerate(table.column("features")):
+        matrix[k] = np.frombuffer(row.as_buffer(), dtype=np.float16)
+    languages = table.column("lang").to_pylist()
+    del table
+    pa.default_memory_pool().release_unused()
+    return Model(matrix, languages)
 
 
 def identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

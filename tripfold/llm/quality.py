@@ -129,13 +129,15 @@ def learn(
         run, f"doc_id {kind}, label int, buckets binary, shares binary"
     ).toArrow()
     table = table.sort_by([("doc_id", "ascending")])
+    # The arrays are views of the table's own memory.
     found = [
-        (np.frombuffer(b, dtype=np.uint16), np.frombuffer(s, dtype=np.float32))
-        for b, s in zip(
-            table.column("buckets").to_pylist(), table.column("shares").to_pylist(), strict=True
-        )
+        (np.frombuffer(b.as_buffer(), dtype=np.uint16), np.frombuffer(s.as_buffer(), np.float32))
+        for b, s in zip(table.column("buckets"), table.column("shares"), strict=True)
     ]
-    return fit(found, np.array(table.column("label").to_pylist(), dtype=np.int64))
+    model = fit(found, np.array(table.column("label").to_pylist(), dtype=np.int64))
+    del found, table
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
