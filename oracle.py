@@ -393,6 +393,15 @@ REPLAYED = " UNION ALL ".join(
     ]
 )
 
+REPEATED = """SELECT * FROM bronze
+    UNION ALL SELECT * FROM bronze WHERE PULocationID = DOLocationID"""
+SOURCE_OUT = ", ".join(
+    f"CAST({c} AS {'BIGINT' if kind == 'int' else 'VARCHAR'}) AS {c}"
+    if kind in ("int", "timestamp_ntz")
+    else c
+    for c, kind in BRONZE_TYPES.items()
+)
+
 SELECTS = {
     "bronze_trips": f"SELECT {BRONZE_OUT} FROM bronze",
     "rejection_reasons":
@@ -481,16 +490,19 @@ SELECTS = {
     "dictionary_gaps":
         f"SELECT * EXCLUDE (is_defined) FROM ({DICTIONARY}) WHERE NOT is_defined",
     "column_profile": " UNION ALL ".join(_profile(c, kind) for c, kind in BRONZE_TYPES.items()),
-    "duplicate_groups": """
-        SELECT source_month, CAST(PULocationID AS BIGINT) AS PULocationID,
-               CAST(DOLocationID AS BIGINT) AS DOLocationID, trip_distance, count(*) AS copies
-        FROM bronze GROUP BY ALL HAVING count(*) > 1""",
-    "duplicate_excess": """
+    "column_profile_distinct": " UNION ALL ".join(
+        f"SELECT source_month, '{c}' AS column_name, count(DISTINCT {c}) AS distinct_exact, "
+        "TRUE AS sketch_is_near FROM bronze GROUP BY source_month"
+        for c in BRONZE_TYPES
+    ),
+    "duplicate_groups": f"""
+        SELECT {SOURCE_OUT}, source_month, count(*) AS copies
+        FROM ({REPEATED}) GROUP BY ALL HAVING count(*) > 1""",
+    "duplicate_excess": f"""
         SELECT source_month, count(*) AS identical_groups,
                CAST(sum(copies - 1) AS BIGINT) AS excess_identical_rows
-        FROM (SELECT source_month, count(*) AS copies FROM bronze
-              GROUP BY source_month, PULocationID, DOLocationID, trip_distance
-              HAVING count(*) > 1)
+        FROM (SELECT source_month, count(*) AS copies FROM ({REPEATED})
+              GROUP BY source_month, {', '.join(BRONZE_TYPES)} HAVING count(*) > 1)
         GROUP BY source_month""",
     "category_counts": " UNION ALL ".join(
         f"SELECT source_month, '{c}' AS column_name, {c} AS value, count(*) AS row_count "
@@ -524,8 +536,12 @@ SELECTS = {
                b.row_count AS row_count_before, a.row_count AS row_count_after,
                b.sum_fare_amount AS sum_fare_amount_before,
                a.sum_fare_amount AS sum_fare_amount_after,
+               b.populated_fare_amount AS populated_fare_amount_before,
+               a.populated_fare_amount AS populated_fare_amount_after,
                b.sum_total_amount AS sum_total_amount_before,
-               a.sum_total_amount AS sum_total_amount_after
+               a.sum_total_amount AS sum_total_amount_after,
+               b.populated_total_amount AS populated_total_amount_before,
+               a.populated_total_amount AS populated_total_amount_after
         FROM ({SNAPSHOT}) b
         FULL JOIN ({REPLAYED}) a
           ON a.table_name = b.table_name AND a.source_month = b.source_month

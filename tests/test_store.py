@@ -152,3 +152,50 @@ def test_tables_carry_dictionary_comments(store):
         ).collect()
     }
     assert described["fare_amount"].startswith("Fare, USD. Domain:")
+
+
+@pytest.mark.parametrize(
+    "stored, arriving, value, kept",
+    [
+        ("bigint", "double", "1.7", None),
+        ("int", "bigint", "5000000000", None),
+        ("decimal(18,2)", "double", "2.349", None),
+        ("double", "bigint", "9007199254740993", None),
+        ("bigint", "int", "7", 7),
+        ("double", "int", "7", 7.0),
+        ("decimal(20,2)", "int", "7", 7),
+    ],
+)
+def test_a_month_of_another_type_is_kept_whole_or_refused(store, stored, arriving, value, kept):
+    spark = store.spark
+
+    def rows(kind, text, month):
+        return spark.range(1).select(
+            F.lit(text).cast(kind).alias("amount"), F.lit(month).alias("source_month")
+        )
+
+    store.replace_month(rows(stored, "1", "2026-01"), "silver", "rows", "2026-01")
+    later = rows(arriving, value, "2026-02")
+    if kept is None:
+        with pytest.raises(ValueError, match="could lose values"):
+            store.replace_month(later, "silver", "rows", "2026-02")
+        assert counts(store) == {"2026-01": 1}
+    else:
+        store.replace_month(later, "silver", "rows", "2026-02")
+        assert store.read_month("silver", "rows", "2026-02").first().amount == kept
+
+
+def test_column_names_match_without_regard_to_case(store):
+    spark = store.spark
+    for month, name in (("2026-01", "airport_fee"), ("2026-02", "Airport_fee")):
+        frame = month_rows(spark, month, 2).withColumn(name, F.lit(1.5))
+        store.replace_month(frame, "silver", "rows", month)
+    assert store.table("silver", "rows").agg(F.sum("airport_fee")).first()[0] == 6.0
+    before = spark.conf.get("spark.sql.caseSensitive")
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        both = frame.withColumn("airport_fee", F.lit(2.5))
+        with pytest.raises(ValueError, match="case alone"):
+            store.replace_month(both, "silver", "rows", "2026-02")
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", before)

@@ -57,16 +57,44 @@ def column_profile(
     )
 
 
+def distinct_counts(
+    frame: DataFrame, by: str = "source_month", columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Exact number of distinct values per month and source column, NULL left out.
+
+    One shuffle of distinct values after a map-side merge; the sketch of
+    ``column_profile`` is the cheap way, this one checks it."""
+    columns = source_columns(frame) if columns is None else columns
+    values = [F.col(f"`{name}`").cast("string").alias(name) for name in columns]
+    return (
+        frame.select(by, *values)
+        .unpivot([by], list(columns), "column_name", "value")
+        .groupBy(by, "column_name", "value")
+        .agg(F.lit(1).alias("seen"))
+        .groupBy(by, "column_name")
+        .agg(F.count("value").alias("distinct_exact"))
+    )
+
+
 def duplicate_groups(
     frame: DataFrame, by: str = "source_month", columns: Sequence[str] | None = None
 ) -> DataFrame:
     """Groups of rows equal in all given columns; NULLs and NaNs equal themselves.
 
-    Copies collapse map-side, so even a very large group reaches its reducer as one row
-    per task."""
+    Hashes are counted first, so of the rows themselves only those whose hash repeats are
+    grouped.  Copies collapse map-side, so even a very large group reaches its reducer as
+    one row per task."""
     columns = source_columns(frame) if columns is None else columns
+    hashed = frame.select(by, *columns, F.xxhash64(by, *columns).alias("__hash"))
+    repeated = (
+        hashed.groupBy("__hash")
+        .agg(F.count("*").alias("__copies"))
+        .where(F.col("__copies") > 1)
+        .select("__hash")
+    )
     return (
-        frame.groupBy(by, *columns)
+        hashed.join(repeated, "__hash", "left_semi")
+        .groupBy(by, *columns)
         .agg(F.count("*").alias("copies"))
         .where(F.col("copies") > 1)
     )

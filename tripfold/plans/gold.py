@@ -16,12 +16,14 @@ TABLE_MODELS = (
     "mart_route_duration",
 )
 MODELS = ("dim_zones", "stg_trips") + TABLE_MODELS[1:]
+#: One generation more than there are views, so one is always free.
+SLOTS = "abcdef"
 
 
 def require_ready(store: MonthStore, months: Sequence[str]) -> None:
     status = store.table("ops", "month_status")
     blocking = readiness_violations(status, requested_frame(status, months))
-    found = blocking.orderBy("source_month").limit(20).collect()
+    found = blocking.orderBy("source_month").collect()  # one row a month
     if found:
         listed = ", ".join(f"{row.source_month}: {row.violation}" for row in found)
         raise ValueError(f"gold is blocked by {listed}")
@@ -50,18 +52,22 @@ def gold_tables(store: MonthStore) -> Tables:
 
 
 def _spare_slot(store: MonthStore) -> str:
-    """Of the two table generations, the one the published views do not read."""
-    if not store.exists("gold", "fct_trips"):
-        return "a"
-    view = store.config.table("gold", "fct_trips")
-    slot = store.spark.sql(f"SHOW TBLPROPERTIES {view} ('slot')").first().value
-    return "b" if slot == "a" else "a"
+    """A table generation that no published view reads.
+
+    After a publication that stopped half-way the views read several generations; none of
+    them may be overwritten before its successor is checked."""
+    used = set()
+    for name in TABLE_MODELS:
+        if store.exists("gold", name):
+            view = store.config.table("gold", name)
+            used.add(store.spark.sql(f"SHOW TBLPROPERTIES {view} ('slot')").first().value)
+    return next(slot for slot in SLOTS if slot not in used)
 
 
 def build_gold(store: MonthStore, months: Sequence[str]) -> dict:
     """Rebuild every model from all silver months and publish them if they check out.
 
-    Models go to the spare of two table generations.  The post-checks read that
+    Models go to a table generation that nothing published reads.  The post-checks read that
     generation, and only when they pass are the public names, which are views, pointed
     at it; a failed build leaves the published models as they were."""
     require_ready(store, months)

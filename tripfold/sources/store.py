@@ -2,8 +2,9 @@
 
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType, StructType
 
 from tripfold.config import LAYERS, FeedConfig
 from tripfold.functions.months import check_month
@@ -11,6 +12,52 @@ from tripfold.sources.dictionary import with_comments
 
 COUNTS = ("input_count", "accepted_count", "rejected_count", "unusual_count")
 
+#: Decimal digits of whole numbers by type, and of those that floating types hold exactly.
+WHOLE_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+EXACT_IN = {"float": ("tinyint", "smallint"), "double": ("tinyint", "smallint", "int", "float")}
+
+
+def holds(target: DataType, source: DataType) -> bool:
+    """Whether every value of the source type survives in the target type."""
+    to, of = target.simpleString(), source.simpleString()
+    if to == of or of == "void" or of in EXACT_IN.get(to, ()):
+        return True
+    if isinstance(target, DecimalType):
+        scale, whole = (
+            (source.scale, source.precision - source.scale)
+            if isinstance(source, DecimalType)
+            else (0, WHOLE_DIGITS.get(of, 99))
+        )
+        return target.scale >= scale and target.precision - target.scale >= whole
+    return to in WHOLE_DIGITS and WHOLE_DIGITS[to] > WHOLE_DIGITS.get(of, 99)
+
+
+def conformed(frame: DataFrame, schema: StructType, target: str) -> dict[str, Column]:
+    """For each column of a table the frame's column that fits it.
+
+    Names match without regard to case, since files spell them differently.  A name that
+    then fits several columns, a missing or further column, and a type whose values the
+    table's type may not hold are refused: nothing is rounded or cut on the way in."""
+    given: dict[str, list[str]] = {}
+    for name in frame.columns:
+        given.setdefault(name.lower(), []).append(name)
+    twice = sorted(name for names in given.values() if len(names) > 1 for name in names)
+    if twice:
+        raise ValueError(f"{target}: columns differ by case alone: {twice}")
+    unexpected = set(given) ^ {field.name.lower() for field in schema}
+    if unexpected:
+        raise ValueError(f"{target}: columns differ from the table: {sorted(unexpected)}")
+    columns, narrow = {}, []
+    for field in schema:
+        own = frame.schema[given[field.name.lower()][0]]
+        if not holds(field.dataType, own.dataType):
+            kinds = f"{own.dataType.simpleString()} into {field.dataType.simpleString()}"
+            narrow.append(f"{field.name}: {kinds}")
+        columns[field.name] = F.col(f"`{own.name}`").cast(field.dataType).alias(field.name)
+    if narrow:
+        raise ValueError(f"{target}: types that could lose values: {narrow}")
+    return columns
+
 
 class MonthStore:
     def __init__(self, spark: SparkSession, config: FeedConfig):
@@ -71,7 +118,8 @@ class MonthStore:
 
         The month is a static partition, so an empty frame empties the month.  ``within``
         names further partition columns below the month, which are replaced as a whole
-        too.  A row of any other month fails the write."""
+        too.  A row of any other month fails the write, and so does a column whose values
+        the table's type may not hold; see ``conformed``."""
         check_month(month)
         target = self.config.table(layer, name)
         fits = F.col("source_month").eqNullSafe(F.lit(month))
@@ -89,16 +137,13 @@ class MonthStore:
                 .partitionBy("source_month", *within)
                 .saveAsTable(target)
             )
-        columns = self.spark.table(target).columns
-        unexpected = set(frame.columns) ^ set(columns)
-        if unexpected:
-            raise ValueError(f"{target}: columns differ from the table: {sorted(unexpected)}")
+        columns = conformed(frame, self.spark.table(target).schema, target)
         ordered = [c for c in columns if c not in ("source_month", *within)]
         partition = ", ".join([f"source_month = '{month}'", *within])
         with self._static_overwrite():
             self.spark.sql(
                 f"INSERT OVERWRITE TABLE {target} PARTITION ({partition}) SELECT * FROM {{rows}}",
-                rows=frame.select(*ordered, *within),
+                rows=frame.select(*[columns[name] for name in (*ordered, *within)]),
             )
 
     @contextmanager
