@@ -34,7 +34,6 @@ PERCENT = 75
 SHORT_LIST = 8
 TILE_ROWS = 256
 TILE_BYTES = 2 << 20
-PAIRS_A_TASK = 8
 BROADCAST_BYTES = 32 << 20
 
 
@@ -256,9 +255,9 @@ def _tiles(long: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
             yield done()
 
     order = ["label", "component", "rep"]
-    dealt = rows.repartitionByRange(
-        max(1, sets.count() // (4 * TILE_ROWS)), *order
-    ).sortWithinPartitions(*order)
+    # Whole tiles, however many partitions the session asks for.
+    parts = max(1, sets.count() // (4 * TILE_ROWS))
+    dealt = rows.repartitionByRange(parts, *order).coalesce(parts).sortWithinPartitions(*order)
     schema = "tile bigint, " + ", ".join(f"{c} binary" for c in blocks)
     schema += ", meets array<struct<label:bigint,least:bigint,most:bigint>>"
     columns = ["rep", "component", "label", "signature", "hashes"]
@@ -314,8 +313,7 @@ def _tile_links(tiles: DataFrame) -> DataFrame:
         )
 
     blocks = pairs.join(side("x"), "x").join(side("y"), "y")
-    tasks = max(1, -(-pairs.count() // PAIRS_A_TASK))
-    return blocks.repartition(tasks, "x", "y").mapInArrow(run, "a bigint, b bigint")
+    return blocks.mapInArrow(run, "a bigint, b bigint")
 
 
 class _Tile:
@@ -428,6 +426,8 @@ def near_duplicates(
     more = _across(mixed.where(F.col("n") <= SHORT_LIST)).join(first, ["a", "b"], "left_anti")
     more = frames.staged(_collisions(more, reps), "more-pairs")
     everything = copies.unionByName(links).unionByName(_confirmed(more, docs))
+    for used in (posted, postings):
+        frames.drop_staged(used)
     long = mixed.where(F.col("n") > SHORT_LIST)
     if not long.isEmpty():
         everything = everything.unionByName(_tile_links(_tiles(long, docs, reps)))
