@@ -232,9 +232,13 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = bpe.rank_vocabulary(path)["bytes"]
         for batch in frames.slices(batches):
-            column = batch.column("ids").to_pylist()
+            column = batch.column("ids")
+            ids, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_pylist()
             data = [
-                None if ids is None else b"".join(map(names.__getitem__, ids)) for ids in column
+                b"".join(map(names.__getitem__, ids[start:end].tolist())) if known else None
+                for start, end, known in zip(
+                    ends, ends[1:], column.is_valid().to_pylist(), strict=False
+                )
             ]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(data, pa.binary())], [*batch.schema.names, "decoded"]
