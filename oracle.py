@@ -183,24 +183,20 @@ months_are_ready AS (
     WHERE 'run-1' IS DISTINCT FROM s.run_id GROUP BY t.source_month
 ), rejections_have_reasons AS (
     SELECT * FROM bad_rejected WHERE rejection_reasons = ''
-), raw_n AS (
-    SELECT source_month, count(*) AS n FROM bronze GROUP BY source_month
-), accepted_n AS (
-    SELECT source_month, count(*) AS n FROM trips GROUP BY source_month
-), rejected_n AS (
-    SELECT source_month, count(*) AS n FROM bad_rejected GROUP BY source_month
-), all_months AS (
-    SELECT source_month FROM raw_n UNION SELECT source_month FROM accepted_n
-    UNION SELECT source_month FROM rejected_n UNION SELECT source_month FROM bad_status
+), counted AS (
+    SELECT source_month, count(*) FILTER (kind = 'raw') AS raw_rows,
+           count(*) FILTER (kind = 'kept') AS kept_rows,
+           count(*) FILTER (kind = 'refused') AS refused_rows
+    FROM (SELECT source_month, 'raw' AS kind FROM bronze
+          UNION ALL SELECT source_month, 'kept' FROM trips
+          UNION ALL SELECT source_month, 'refused' FROM bad_rejected)
+    GROUP BY source_month
 ), source_counts_reconcile AS (
-    SELECT m.source_month FROM all_months m
-    LEFT JOIN raw_n r USING (source_month) LEFT JOIN accepted_n a USING (source_month)
-    LEFT JOIN rejected_n q USING (source_month) LEFT JOIN bad_status s USING (source_month)
-    WHERE r.n IS NULL OR s.source_month IS NULL OR s.status <> 'SUCCESS'
-       OR coalesce(r.n, 0) <> coalesce(a.n, 0) + coalesce(q.n, 0)
-       OR s.input_count IS DISTINCT FROM r.n
-       OR s.accepted_count IS DISTINCT FROM coalesce(a.n, 0)
-       OR s.rejected_count IS DISTINCT FROM coalesce(q.n, 0)
+    SELECT coalesce(counted.source_month, told.source_month) AS source_month
+    FROM counted FULL JOIN bad_status told ON told.source_month = counted.source_month
+    WHERE (coalesce(told.status, 'SUCCESS') = 'SUCCESS' AND raw_rows > 0 AND kept_rows + refused_rows = raw_rows
+           AND (told.input_count, told.accepted_count, told.rejected_count)
+               = (raw_rows, kept_rows, refused_rows)) IS NOT TRUE
 ), dimension_keys AS (
     SELECT zone_key FROM bad_dim GROUP BY zone_key HAVING zone_key IS NULL OR count(*) <> 1
 ), fact_relationships AS (
@@ -212,17 +208,17 @@ months_are_ready AS (
     SELECT * FROM bad_fact
     WHERE pickup_at IS NULL OR dropoff_at IS NULL OR duration_minutes < 0
        OR rejection_reasons <> ''
-), expected AS (
-    SELECT count(*) AS trips, coalesce(sum(fare_amount), 0) AS fares FROM trips
-), actual AS (
-    SELECT 'fact' AS model, count(*) AS trips, coalesce(sum(fare_amount), 0) AS fares
-    FROM bad_fact
-    UNION ALL SELECT 'pickup', sum(trip_count), sum(recorded_fare_amount) FROM bad_pickup_mart
-    UNION ALL SELECT 'monthly', sum(trip_count), sum(recorded_fare_amount) FROM bad_monthly_mart
-    UNION ALL SELECT 'route', sum(trip_count), (SELECT fares FROM expected) FROM route_mart
+), per_model AS (
+    SELECT model, sum(n) AS trips, sum(money) AS fares
+    FROM (SELECT 'fact' AS model, 1 AS n, fare_amount AS money FROM bad_fact
+          UNION ALL SELECT 'pickup', trip_count, recorded_fare_amount FROM bad_pickup_mart
+          UNION ALL SELECT 'monthly', trip_count, recorded_fare_amount FROM bad_monthly_mart
+          UNION ALL SELECT 'route', trip_count, 0 FROM route_mart)
+    GROUP BY model
 ), aggregate_totals_reconcile AS (
-    SELECT actual.* FROM actual, expected
-    WHERE actual.trips <> expected.trips OR actual.fares <> expected.fares
+    SELECT model, trips, CASE model WHEN 'route' THEN due.money ELSE fares END AS fares
+    FROM per_model, (SELECT count(*) AS n, sum(fare_amount) AS money FROM trips) due
+    WHERE trips <> due.n OR (model <> 'route' AND fares <> due.money)
 )"""
 
 CHECK_NAMES = (

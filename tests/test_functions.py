@@ -1,14 +1,22 @@
+import string
+
 import pytest
 from pyspark.sql import functions as F
 
-from tripfold.config import FeedConfig, check_run_id
+from tripfold.config import FeedConfig, Layer, check_run_id
 from tripfold.functions.durations import wall_minutes, wall_seconds
 from tripfold.functions.lookups import fits_broadcast, lookup_bytes
 from tripfold.functions.months import check_month, is_month, month_contract, month_of, parse_months
 from tripfold.functions.rules import Rule, tag
 
-BAD_MONTHS = ["2026-13", "2026-00", "25-01", "2026-1", "2026-01' OR 1=1", "../2026-01", "0000-01"]
-BAD_MONTHS.append("2026-01\n")
+MONTH = "2031-07"
+# One character lost, one too many, a month that no year has, a year that is none.
+BAD_MONTHS = sorted(
+    {MONTH[:k] + MONTH[k + 1 :] for k in range(len(MONTH))}
+    | {MONTH[:k] + odd + MONTH[k:] for k in range(len(MONTH) + 1) for odd in "'/\n 0x"}
+    | {f"2031-{number:02}" for number in (0, *range(13, 100, 29))}
+    | {"0000-07", MONTH.replace("-", "/")}
+)
 
 
 @pytest.mark.parametrize("value", [*BAD_MONTHS, "", None])
@@ -25,26 +33,27 @@ def test_month_lists():
 
 
 def test_month_column_agrees_with_the_parameter_check(spark):
-    frame = spark.createDataFrame([(m,) for m in [*BAD_MONTHS, "2026-01", None]], "m string")
+    frame = spark.createDataFrame([(m,) for m in [*BAD_MONTHS, MONTH, None]], "m string")
     valid = {row.m: row.ok for row in frame.select("m", is_month(F.col("m")).alias("ok")).collect()}
-    assert valid == {**{m: False for m in BAD_MONTHS}, "2026-01": True, None: False}
+    assert valid == {**{m: False for m in BAD_MONTHS}, MONTH: True, None: False}
     report = {r.month_text: r for r in month_contract(frame.union(frame), "m").collect()}
-    assert report["2026-01"].row_count == 2 and report["2026-01"].is_valid
+    assert report[MONTH].row_count == 2 and report[MONTH].is_valid
     assert not report[None].is_valid
 
 
-def test_names():
-    config = FeedConfig(catalog="workspace", prefix="feed")
-    assert config.table("bronze", "yellow_trips") == "workspace.feed_bronze.yellow_trips"
-    for value in ("foo.bar", "../foo", "foo; DROP TABLE trips", ""):
-        with pytest.raises(ValueError):
-            FeedConfig(catalog=value)
+def test_names_are_quoted_and_plain():
+    config = FeedConfig(catalog="lake", prefix="Cabs2")
+    assert config.name("ops") == "`lake`.`Cabs2_ops`"
+    assert config.name(Layer.GOLD, "fares") == "`lake`.`Cabs2_gold`.`fares`"
+    odd = [f"cabs{mark}" for mark in string.punctuation + string.whitespace if mark != "_"]
+    for value in [*odd, "2cabs", "", "caf\u00e9"]:
+        for part in ("catalog", "prefix", "table_format"):
+            with pytest.raises(ValueError):
+                FeedConfig(**{part: value})
         with pytest.raises(ValueError):
-            FeedConfig(prefix=value)
-    with pytest.raises(ValueError):
-        config.schema("untrusted")
+            config.name("silver", value)
     with pytest.raises(ValueError):
-        config.table("gold", "a b")
+        config.name("copper")
 
 
 def test_run_ids():

@@ -3,7 +3,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from fixtures import GOOD, SEVEN, raw_frame, rows, zone_frame
+from fixtures import GOOD, MIXED, REFUSED, raw_frame, rows, zone_frame
 from tripfold.operators import answers, contracts, models, profile, snapshot
 from tripfold.operators.validate import accepted, rejected, split_counts, validate
 from tripfold.sources import landing
@@ -118,12 +118,10 @@ def test_change_is_against_the_previous_month_present(spark):
 
 
 def test_breakdowns_count_a_record_once_per_code(spark):
-    validated = validate(raw_frame(spark, SEVEN), zone_frame(spark))
+    validated = validate(raw_frame(spark, MIXED), zone_frame(spark))
     reasons = {r.reason: r.rejected_records_with_reason
                for r in answers.rejection_breakdown(rejected(validated)).collect()}
-    assert reasons == {
-        "missing_or_invalid_timestamp": 1, "reversed_journey": 1, "invalid_pickup_zone": 1,
-    }
+    assert reasons == REFUSED
     warnings = [tuple(r) for r in answers.warning_breakdown(accepted(validated)).collect()]
     assert len(warnings) == 4 and all(r[2] == 1 for r in warnings)
 
@@ -204,13 +202,13 @@ def test_declared_domains(spark):
 
 
 def test_dictionary(spark):
-    frame = raw_frame(spark, SEVEN).withColumn("surprise", F.lit(None).cast("int"))
+    frame = raw_frame(spark, MIXED).withColumn("surprise", F.lit(None).cast("int"))
     frame = frame.withColumnRenamed("PULocationID", "pulocationid")
     report = {r.column_name: r
               for r in contracts.dictionary_report(frame, "bronze.yellow_trips").collect()}
     assert len(report) == len(frame.columns)
     assert report["pulocationid"].is_defined  # names match without regard to case
-    assert report["tpep_pickup_datetime"].populated == 6
+    assert report["tpep_dropoff_datetime"].populated == 8
     (gap,) = contracts.dictionary_gaps(frame, "bronze.yellow_trips").collect()
     assert (gap.column_name, gap.populated) == ("surprise", 0)
     assert undefined_columns(frame) == ["surprise"]
@@ -264,10 +262,10 @@ def test_duplicates_group_nulls_nans_and_zeros(spark):
 
 
 def test_duplicates_ignore_provenance(spark):
-    frame = raw_frame(spark, SEVEN)
+    frame = raw_frame(spark, MIXED)
     again = frame.withColumn("ingestion_run_id", F.lit("other"))
     assert profile.duplicate_groups(frame).count() == 1
-    assert profile.duplicate_groups(frame.union(again)).agg(F.sum("copies")).first()[0] == 14
+    assert profile.duplicate_groups(frame.union(again)).agg(F.sum("copies")).first()[0] == 18
 
 
 def test_category_counts(spark):
@@ -290,7 +288,7 @@ def test_category_counts(spark):
 
 
 def test_snapshot_diff_kinds(spark):
-    raw = raw_frame(spark, SEVEN)
+    raw = raw_frame(spark, MIXED)
     before = snapshot.snapshot_metrics({"a": raw, "zones": zone_frame(spark)})
     same = snapshot.snapshot_metrics({"a": raw.repartition(3), "zones": zone_frame(spark)})
     assert snapshot.snapshot_diff(before, same).isEmpty()
@@ -344,8 +342,8 @@ def test_file_names(spark):
 
 
 def test_split_counts_of_all_months_in_one_pass(spark):
-    frame = raw_frame(spark, SEVEN).union(raw_frame(spark, SEVEN, "2026-02"))
+    frame = raw_frame(spark, MIXED).union(raw_frame(spark, MIXED, "2026-02"))
     zones = zone_frame(spark).union(zone_frame(spark, "2026-02"))
     counts = {r.source_month: r.accepted_count
               for r in split_counts(validate(frame, zones)).collect()}
-    assert counts == {"2026-01": 4, "2026-02": 4}
+    assert counts == {"2026-01": 5, "2026-02": 5}

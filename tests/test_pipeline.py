@@ -1,13 +1,14 @@
 import json
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from fixtures import ALL_BAD, CLEAN, GOOD, SEVEN, land, rows
+from fixtures import ALL_BAD, CLEAN, GOOD, KEPT_FARES, MIXED, REFUSED, land, rows
 from tripfold.config import FeedConfig
 from tripfold.operators.checks import CHECKS, POST_CHECKS, PRE_CHECKS, check_report, enforce
 from tripfold.plans.gold import build_gold, gold_tables, silver_tables
-from tripfold.plans.months import ingest_month, prepare_month
+from tripfold.plans.months import MonthResult, ingest_month, prepare_month
 from tripfold.plans.pipeline import run_pipeline
 from tripfold.plans.replay import evidence_log, verify_replay
 from tripfold.sources.store import MonthStore
@@ -20,7 +21,7 @@ def feed(spark, tmp_path, request):
     store.bootstrap()
     yield store
     for layer in ("bronze", "silver", "gold", "ops"):
-        spark.sql(f"DROP SCHEMA {store.config.schema(layer)} CASCADE")
+        spark.sql(f"DROP SCHEMA {store.config.name(layer)} CASCADE")
 
 
 def put(store, month, records, **options):
@@ -34,64 +35,55 @@ def process(store, month, run_id):
 
 def totals(store, month):
     return tuple(
-        store.read_month("silver", "trips", month)
+        store.table("silver", "trips", month)
         .agg(F.count("*"), F.sum("fare_amount"))
         .first()
     )
 
 
 def status(store, month):
-    (row,) = store.read_month("ops", "month_status", month).collect()
+    (row,) = store.table("ops", "month_status", month).collect()
     return row
 
 
-def test_acceptance(feed):
-    put(feed, "2026-01", SEVEN)
-    put(feed, "2026-02", SEVEN)
-    first = process(feed, "2026-01", "first")
-    assert first == {
-        "source_month": "2026-01",
-        "status": "SUCCESS",
-        "input_count": 7,
-        "accepted_count": 4,
-        "rejected_count": 3,
-        "unusual_count": 2,
-    }
-    before = totals(feed, "2026-01")
-    assert before == (4, 40)
-    reasons = feed.read_month("silver", "rejected_trips", "2026-01").select(
-        F.explode("rejection_reasons")
-    )
-    assert {row[0] for row in reasons.collect()} == {
-        "missing_or_invalid_timestamp",
-        "reversed_journey",
-        "invalid_pickup_zone",
-    }
+def test_a_month_is_split_and_counted(feed):
+    put(feed, "2026-01", MIXED)
+    assert process(feed, "2026-01", "r1") == MonthResult("2026-01", "SUCCESS", 9, 5, 4, 2)
+    found = feed.table("silver", "rejected_trips", "2026-01").select("rejection_reasons").collect()
+    assert Counter(reason for row in found for reason in row.rejection_reasons) == REFUSED
+    assert totals(feed, "2026-01") == (5, KEPT_FARES)
 
-    process(feed, "2026-02", "other")
-    february = totals(feed, "2026-02")
-    process(feed, "2026-01", "again")
-    assert totals(feed, "2026-01") == before and totals(feed, "2026-02") == february
 
-    # Nothing to quarantine any more: the old quarantine must go.
-    kept = feed.read_month("bronze", "yellow_trips", "2026-01").where(
-        "tpep_dropoff_datetime >= tpep_pickup_datetime AND PULocationID = 1"
-    )
-    feed.replace_month_via_staging(kept, "bronze", "yellow_trips", "2026-01")
-    assert prepare_month(feed, "2026-01", "clean")["rejected_count"] == 0
-    assert feed.read_month("silver", "rejected_trips", "2026-01").isEmpty()
-    assert feed.read_month("silver", "rejected_trips", "2026-02").count() == 3
+def test_a_month_done_again_moves_nothing_else(feed):
+    months = ["2026-01", "2026-02"]
+    for month in months:
+        put(feed, month, MIXED)
+        process(feed, month, "r1")
+    put(feed, "2026-02", CLEAN)
+    for run_id in ("r2", "r3"):
+        process(feed, "2026-02", run_id)
+        assert [totals(feed, month) for month in months] == [(5, KEPT_FARES), (2, 35)]
+        assert feed.table("silver", "rejected_trips").where("source_month > '2026-01'").isEmpty()
+        build_gold(feed, months)
+        assert feed.table("gold", "fct_trips").count() == 7
+    assert {row.violations for row in check_report(gold_tables(feed)).collect()} == {0}
+
 
-    process(feed, "2026-01", "recovered")
-    for _ in range(2):
-        build_gold(feed, ["2026-01", "2026-02"])
-        assert feed.table("gold", "fct_trips").count() == 8
-    assert {r.violations for r in check_report(gold_tables(feed)).collect()} == {0}
+def test_bronze_rewritten_from_itself_empties_the_quarantine(feed):
+    put(feed, "2026-01", MIXED)
+    process(feed, "2026-01", "r1")
+    sound = feed.table("bronze", "yellow_trips", "2026-01").where(
+        "DOLocationID < 3 AND tpep_dropoff_datetime >= tpep_pickup_datetime"
+    )
+    feed.replace_month_via_staging(sound, "bronze", "yellow_trips", "2026-01")
+    assert prepare_month(feed, "2026-01", "r2").rejected_count == 0
+    assert feed.table("silver", "rejected_trips", "2026-01").isEmpty()
+    assert totals(feed, "2026-01") == (5, KEPT_FARES)
 
 
 def test_an_entirely_rejected_month_fails_and_blocks_gold(feed):
-    put(feed, "2026-01", SEVEN)
-    put(feed, "2026-02", SEVEN)
+    put(feed, "2026-01", MIXED)
+    put(feed, "2026-02", MIXED)
     process(feed, "2026-01", "r1")
     process(feed, "2026-02", "r1")
     build_gold(feed, ["2026-01"])
@@ -100,15 +92,15 @@ def test_an_entirely_rejected_month_fails_and_blocks_gold(feed):
     with pytest.raises(ValueError, match="no accepted record"):
         process(feed, "2026-02", "r2")
     assert status(feed, "2026-02").status == "FAILED"
-    assert feed.read_month("silver", "trips", "2026-02").isEmpty()  # replaced, then refused
+    assert feed.table("silver", "trips", "2026-02").isEmpty()  # replaced, then refused
     with pytest.raises(ValueError, match="2026-02: not_success"):
         build_gold(feed, ["2026-01"])
-    assert feed.table("gold", "fct_trips").count() == 8  # still the earlier publication
+    assert feed.table("gold", "fct_trips").count() == 10  # still the earlier publication
 
     put(feed, "2026-02", CLEAN)
     process(feed, "2026-02", "r3")
     assert build_gold(feed, ["2026-01", "2026-02"])["status"] == "SUCCESS"
-    assert feed.table("gold", "fct_trips").count() == 6
+    assert feed.table("gold", "fct_trips").count() == 7
 
 
 @pytest.mark.parametrize(
@@ -120,7 +112,7 @@ def test_an_entirely_rejected_month_fails_and_blocks_gold(feed):
     ],
 )
 def test_zone_contract_stops_the_month_before_any_table(feed, zones, message):
-    put(feed, "2026-01", SEVEN, zones=zones)
+    put(feed, "2026-01", MIXED, zones=zones)
     with pytest.raises(ValueError, match=message):
         ingest_month(feed, "2026-01", "r1")
     assert status(feed, "2026-01").status == "FAILED"
@@ -128,7 +120,7 @@ def test_zone_contract_stops_the_month_before_any_table(feed, zones, message):
 
 
 def test_malformed_lookup_line_fails(feed):
-    put(feed, "2026-01", SEVEN, zones="1,B,A,Y\n2,B\n")
+    put(feed, "2026-01", MIXED, zones="1,B,A,Y\n2,B\n")
     with pytest.raises(Exception):
         ingest_month(feed, "2026-01", "r1")
     assert status(feed, "2026-01").status == "FAILED"
@@ -150,10 +142,10 @@ def test_trip_contracts(feed):
 
 
 def test_prepare_needs_raw_records(feed):
-    put(feed, "2026-01", SEVEN)
+    put(feed, "2026-01", MIXED)
     ingest_month(feed, "2026-01", "r1")
     assert status(feed, "2026-01").status == "INGESTED"
-    assert status(feed, "2026-01").input_count == 7
+    assert status(feed, "2026-01").input_count == 9
     with pytest.raises(ValueError, match="no raw records"):
         prepare_month(feed, "2026-02", "r1")
     with pytest.raises(ValueError, match="not_success"):
@@ -161,15 +153,15 @@ def test_prepare_needs_raw_records(feed):
 
 
 def test_pipeline_and_publication(feed):
-    put(feed, "2026-01", SEVEN)
+    put(feed, "2026-01", MIXED)
     put(feed, "2026-02", CLEAN)
     result = run_pipeline(feed.spark, feed.config, ["2026-02", "2026-01"], "run-7")
     assert result["status"] == "SUCCESS" and result["run_id"] == "run-7"
     assert result["months"] == ["2026-01", "2026-02"]
     monthly = {r.pickup_month: r for r in feed.table("gold", "mart_monthly_activity").collect()}
-    assert monthly["2025-12"].trip_count == 1  # calendar month, not file month
-    assert monthly["2026-01"].recorded_fare_amount == 60
-    assert feed.table("gold", "stg_trips").count() == 6
+    assert monthly["2026-02"].trip_count == 1  # calendar month, not file month
+    assert monthly["2026-01"].recorded_fare_amount == 78
+    assert feed.table("gold", "stg_trips").count() == 7
     services = [
         (e.source_month, e.service, e.status)
         for e in feed.table("ops", "run_events").orderBy("event_time").collect()
@@ -182,7 +174,7 @@ def test_pipeline_and_publication(feed):
 
 
 def test_pipeline_refuses_columns_the_dictionary_lacks(feed):
-    put(feed, "2026-01", SEVEN)
+    put(feed, "2026-01", MIXED)
     path = f"{feed.config.landing}/2026-01/yellow_tripdata_2026-01.parquet"
     frame = feed.spark.read.parquet(path).withColumn("new_fee", F.lit(1.0))
     other = path.replace("landing", "widened")
@@ -195,8 +187,8 @@ def test_pipeline_refuses_columns_the_dictionary_lacks(feed):
 
 
 def test_replay_evidence(feed):
-    put(feed, "2026-01", SEVEN)
-    put(feed, "2026-02", SEVEN)
+    put(feed, "2026-01", MIXED)
+    put(feed, "2026-02", MIXED)
     for month in ("2026-01", "2026-02"):
         process(feed, month, "r1")
     assert verify_replay(feed, "2026-01", "replay-1")["status"] == "PASS"
@@ -207,7 +199,7 @@ def test_replay_evidence(feed):
         s for s in snapshot
         if s["table_name"] == "silver.trips" and s["source_month"] == "2026-01"
     )
-    assert trips["row_count"] == 4 and trips["sum_fare_amount"] == 40
+    assert trips["row_count"] == 5 and trips["sum_fare_amount"] == KEPT_FARES
     assert list(trips) == sorted(trips)
 
     put(feed, "2026-01", CLEAN)  # the landing files changed in between
@@ -220,7 +212,7 @@ def test_checks_catch_faults(feed):
     """Each check passes on sound tables and fails on the fault made for it."""
     from dataclasses import replace
 
-    put(feed, "2026-01", SEVEN)
+    put(feed, "2026-01", MIXED)
     process(feed, "2026-01", "r1")
     build_gold(feed, ["2026-01"])
     sound = gold_tables(feed)

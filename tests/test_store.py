@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from fixtures import SEVEN, raw_frame
+from fixtures import MIXED, raw_frame
 from tripfold.config import FeedConfig
 from tripfold.sources.store import MonthStore
 
@@ -13,7 +13,7 @@ def store(spark, request):
     made.bootstrap()
     yield made
     for layer in ("bronze", "silver", "gold", "ops"):
-        spark.sql(f"DROP SCHEMA {made.config.schema(layer)} CASCADE")
+        spark.sql(f"DROP SCHEMA {made.config.name(layer)} CASCADE")
 
 
 def counts(store, name="rows"):
@@ -90,32 +90,37 @@ def test_a_month_read_is_pruned_to_its_partition(store):
     spark = store.spark
     for month in ("2026-01", "2026-02"):
         store.replace_month(month_rows(spark, month, 3), "silver", "rows", month)
-    plan = store.read_month("silver", "rows", "2026-01")
+    plan = store.table("silver", "rows", "2026-01")
     assert {f.split("source_month=")[1][:7] for f in plan.inputFiles()} == {"2026-01"}
     assert plan.count() == 3
     with pytest.raises(ValueError):
-        store.read_month("silver", "rows", "' OR 1=1")
+        store.table("silver", "rows", "' OR 1=1")
 
 
 def test_a_month_may_be_rewritten_from_itself_through_staging(store):
     spark = store.spark
     for month in ("2026-01", "2026-02"):
         store.replace_month(month_rows(spark, month, 6), "silver", "rows", month)
-    kept = store.read_month("silver", "rows", "2026-01").where("id < 2")
+    kept = store.table("silver", "rows", "2026-01").where("id < 2")
     store.replace_month_via_staging(kept, "silver", "rows", "2026-01")
     assert counts(store) == {"2026-01": 2, "2026-02": 6}
 
 
 def test_status_has_one_row_per_month_and_events_accumulate(store):
-    store.status("2026-01", "r1", "INGESTED", {"input_count": 7})
-    store.status("2026-02", "r1", "SUCCESS", {"input_count": 1, "accepted_count": 1})
-    store.status("2026-01", "r2", "RUNNING")
+    store.record("month_status", "2026-01", run_id="r1", status="INGESTED", input_count=7)
+    store.record(
+        "month_status", "2026-02", run_id="r1", status="SUCCESS", input_count=1, accepted_count=1
+    )
+    store.record("month_status", "2026-01", run_id="r2", status="RUNNING")
     rows = {r.source_month: r for r in store.table("ops", "month_status").collect()}
     assert set(rows) == {"2026-01", "2026-02"}
     assert rows["2026-01"].run_id == "r2" and rows["2026-01"].input_count is None
     assert rows["2026-02"].accepted_count == 1 and rows["2026-02"].rejected_count is None
-    for status in ("STARTED", "FAILED"):
-        store.event("2026-01", "r2", "ingestion", status, "ValueError" if status == "FAILED" else None)
+    about = {"month": "2026-01", "run_id": "r2", "service": "ingestion"}
+    store.record("run_events", **about, status="STARTED")
+    store.record("run_events", **about, status="FAILED", error_type="ValueError")
+    with pytest.raises(ValueError, match="outcome"):
+        store.record("run_events", **about, outcome="FAILED")
     events = store.table("ops", "run_events").orderBy("event_time").collect()
     assert [(e.service, e.status, e.error_type) for e in events] == [
         ("ingestion", "STARTED", None),
@@ -130,7 +135,7 @@ def test_whole_table_replacement_and_views(store):
     frame = month_rows(spark, "2026-01", 3).union(month_rows(spark, "2026-02", 2))
     assert store.replace_table(frame, "gold", "marts").count() == 5
     assert store.replace_table(frame.where("id = 0"), "gold", "marts").count() == 2
-    view = store.replace_view("gold", "v", f"SELECT id FROM {store.config.table('gold', 'marts')}")
+    view = store.replace_view("gold", "v", f"SELECT id FROM {store.config.name('gold', 'marts')}")
     assert view.columns == ["id"] and view.count() == 2
     assert store.exists("gold", "v") and not store.exists("gold", "nothing")
 
@@ -144,11 +149,11 @@ def test_an_aggregate_is_written_as_few_files_per_month(store):
 
 
 def test_tables_carry_dictionary_comments(store):
-    store.replace_month(raw_frame(store.spark, SEVEN), "bronze", "yellow_trips", "2026-01")
+    store.replace_month(raw_frame(store.spark, MIXED), "bronze", "yellow_trips", "2026-01")
     described = {
         row.col_name: row.comment
         for row in store.spark.sql(
-            f"DESCRIBE {store.config.table('bronze', 'yellow_trips')}"
+            f"DESCRIBE {store.config.name('bronze', 'yellow_trips')}"
         ).collect()
     }
     assert described["fare_amount"].startswith("Fare, USD. Domain:")
@@ -182,7 +187,7 @@ def test_a_month_of_another_type_is_kept_whole_or_refused(store, stored, arrivin
         assert counts(store) == {"2026-01": 1}
     else:
         store.replace_month(later, "silver", "rows", "2026-02")
-        assert store.read_month("silver", "rows", "2026-02").first().amount == kept
+        assert store.table("silver", "rows", "2026-02").first().amount == kept
 
 
 def test_column_names_match_without_regard_to_case(store):

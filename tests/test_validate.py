@@ -3,7 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from fixtures import ALL_BAD, GOOD, SEVEN, raw_frame, rows, zone_frame
+from fixtures import ALL_BAD, GOOD, KEPT_FARES, MIXED, raw_frame, rows, zone_frame
 from tripfold.operators.validate import (
     Thresholds,
     accepted,
@@ -42,18 +42,18 @@ def one(spark, *spec, **options):
     return codes(validate(raw_frame(spark, rows(spec)), zone_frame(spark), **options))[0]
 
 
-def test_seven_records(spark):
-    out = validate(raw_frame(spark, SEVEN), zone_frame(spark))
+def test_mixed_records(spark):
+    out = validate(raw_frame(spark, MIXED), zone_frame(spark))
     assert dict(out.dtypes) == SILVER_TYPES
     assert Counter(map(str, codes(out))) == Counter(
         map(
             str,
             [
-                ([], []),
-                ([], []),
+                *[([], [])] * 3,
                 (["missing_or_invalid_timestamp"], []),
                 (["reversed_journey"], []),
-                (["invalid_pickup_zone"], []),
+                (["reversed_journey", "invalid_pickup_zone"], []),
+                (["invalid_dropoff_zone"], []),
                 ([], ["unusual_distance", "unusual_fare", "unusual_total"]),
                 ([], ["pickup_outside_source_month"]),
             ],
@@ -62,13 +62,13 @@ def test_seven_records(spark):
     counts = split_counts(out).first().asDict()
     assert counts == {
         "source_month": "2026-01",
-        "input_count": 7,
-        "accepted_count": 4,
-        "rejected_count": 3,
+        "input_count": 9,
+        "accepted_count": 5,
+        "rejected_count": 4,
         "unusual_count": 2,
     }
-    assert accepted(out).agg(F.sum("fare_amount")).first()[0] == 40
-    assert accepted(out).count() + rejected(out).count() == 7
+    assert accepted(out).agg(F.sum("fare_amount")).first()[0] == KEPT_FARES
+    assert accepted(out).count() + rejected(out).count() == 9
 
 
 def test_reasons_co_occur_in_rule_order(spark):
@@ -155,9 +155,9 @@ def test_values_that_cannot_be_cast_become_null(spark):
 
 def test_missing_column_is_refused(spark):
     with pytest.raises(ValueError, match="fare_amount"):
-        normalize(raw_frame(spark, SEVEN).drop("fare_amount"))
+        normalize(raw_frame(spark, MIXED).drop("fare_amount"))
     with pytest.raises(ValueError, match="PULocationID"):
-        normalize(raw_frame(spark, SEVEN).withColumnRenamed("PULocationID", "pulocationid"))
+        normalize(raw_frame(spark, MIXED).withColumnRenamed("PULocationID", "pulocationid"))
 
 
 def test_each_month_uses_its_own_snapshot(spark):
@@ -171,7 +171,7 @@ def test_each_month_uses_its_own_snapshot(spark):
 
 def test_repeated_zone_does_not_repeat_records(spark):
     doubled = zone_frame(spark).union(zone_frame(spark))
-    assert validate(raw_frame(spark, SEVEN), doubled).count() == 7
+    assert validate(raw_frame(spark, MIXED), doubled).count() == 9
 
 
 @pytest.mark.parametrize("threshold", ["-1", "10485760"])
@@ -180,7 +180,7 @@ def test_large_lookup_gives_the_same_rows(spark, threshold):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        raw = raw_frame(spark, SEVEN * 50 + ALL_BAD)
+        raw = raw_frame(spark, MIXED * 50 + ALL_BAD)
         zones = zone_frame(spark, ids=range(1, 50))
         small = Counter(map(str, codes(validate(raw, zones, small_zones=True))))
         large = Counter(map(str, codes(validate(raw, zones, small_zones=False))))
@@ -195,7 +195,7 @@ def test_thresholds_are_parameters(spark):
 
 
 def test_partitioning_does_not_matter(spark):
-    raw = raw_frame(spark, SEVEN * 10)
+    raw = raw_frame(spark, MIXED * 10)
     zones = zone_frame(spark)
     apart = Counter(map(str, codes(validate(raw.repartition(7), zones))))
     together = Counter(map(str, codes(validate(raw.coalesce(1), zones))))
@@ -203,8 +203,8 @@ def test_partitioning_does_not_matter(spark):
 
 
 def test_validation_runs_on_a_stream(spark, tmp_path):
-    raw_frame(spark, SEVEN).write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(raw_frame(spark, SEVEN).schema).parquet(str(tmp_path / "in"))
+    raw_frame(spark, MIXED).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(raw_frame(spark, MIXED).schema).parquet(str(tmp_path / "in"))
     query = (
         validate(stream, zone_frame(spark))
         .writeStream.trigger(availableNow=True)
@@ -214,4 +214,4 @@ def test_validation_runs_on_a_stream(spark, tmp_path):
     )
     query.awaitTermination(120)
     out = spark.read.parquet(str(tmp_path / "out"))
-    assert split_counts(out).first().accepted_count == 4
+    assert split_counts(out).first().accepted_count == 5

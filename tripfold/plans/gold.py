@@ -59,7 +59,7 @@ def _spare_slot(store: MonthStore) -> str:
     used = set()
     for name in TABLE_MODELS:
         if store.exists("gold", name):
-            view = store.config.table("gold", name)
+            view = store.config.name("gold", name)
             used.add(store.spark.sql(f"SHOW TBLPROPERTIES {view} ('slot')").first().value)
     return next(slot for slot in SLOTS if slot not in used)
 
@@ -105,7 +105,7 @@ def build_gold(store: MonthStore, months: Sequence[str]) -> dict:
     store.replace_view(
         "gold",
         "stg_trips",
-        f"SELECT {', '.join(models.STG_SELECT)} FROM {store.config.table('silver', 'trips')}",
+        f"SELECT {', '.join(models.STG_SELECT)} FROM {store.config.name('silver', 'trips')}",
     )
     return {"status": "SUCCESS", "models": list(MODELS), "months": list(months)}
 
