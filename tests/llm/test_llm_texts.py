@@ -273,6 +273,24 @@ def test_shared_contexts_find_identifiers(spark, awkward, empty):
     assert pii.find(empty).count() == 0 and pii.redact(empty).count() == 0
 
 
+def test_identifiers_of_many_shapes_are_candidates(spark):
+    shapes = [
+        "EMP-004217", "PAT-2024-0012", "GB-29-NWBK-1234", "EMP004217", "AB12-3456",
+        "0x" + "9f3A" * 10, "555.123.4567", "0044 20 7946 0958", "(555) 123-4567",
+        "GB29 NWBK 6016 1331 9268 19", "12/345/678", "7" * 60,
+    ]
+    for shape in shapes:
+        text = f"the badge code, {shape}. Then"
+        found = [(one["start"], one["end"]) for one in pii.instances(text)]
+        assert (16, 16 + len(shape)) in found, shape
+    assert pii.instances("in 2024 a well-known e-mail, and/or p. 12 3rd") == []
+    rows = [(k, f"member number is a{k}b@mail.example.com today") for k in range(200)]
+    rows += [(1000 + k, f"member number is {shape} today") for k, shape in enumerate(shapes)]
+    frame = spark.createDataFrame(rows, "doc_id int, text string")
+    done = {r.doc_id: r.text for r in pii.redact(frame).collect()}
+    assert {done[1000 + k] for k in range(len(shapes))} == {"member number is [FOUND] today"}
+
+
 # -- near-duplicates -----------------------------------------------------------------
 
 

@@ -11,7 +11,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripfold.llm import frames
@@ -26,8 +26,20 @@ ADDRESS = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 DIGITS = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE_NUMBER = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-#: An identifier-shaped token: two digits at least, six characters at least.
-TOKEN = re.compile(r"(?<![\w.-])(?=\w*[0-9])[A-Za-z0-9][A-Za-z0-9_-]{4,38}[A-Za-z0-9](?![\w-])")
+#: Identifier-shaped, with two digits and six characters at least: a token of groups joined by
+#: hyphens, slashes or dots between digits; a run of such groups joined by spaces or brackets too.
+START = r"(?<!\w)(?<!\w[-/])(?<![0-9]\.)"
+TOKEN = re.compile(
+    START
+    + r"(?=(?:[A-Za-z_]|[-/](?=[A-Za-z0-9]))*+[0-9])"
+    + r"[A-Za-z0-9](?:[A-Za-z0-9_]|[-/](?=[A-Za-z0-9])|(?<=[0-9])\.(?=[0-9]))*+(?!\w)"
+)
+GROUP = r"(?:\([0-9]++\)|[A-Z]{0,4}[0-9][A-Z0-9]*+(?!\w)"
+RUN = re.compile(
+    START
+    + rf"\+?{GROUP})"
+    + rf"(?:(?:[\x20./-]|(?<=\))|(?=\()){GROUP}|[A-Z]{{1,4}}(?=[\x20./-][0-9])))++(?!\w)"
+)
 WORD = re.compile(r"[^\W\d_]+")
 REACH = 60  # characters looked at on either side of a token
 
@@ -89,18 +101,26 @@ def pattern(text: str, start: int, end: int) -> str | None:
     return " ".join([*left, "_", *right]).lower() if len(left) == 2 else None
 
 
+def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Identifier-shaped stretches between the base spans, runs and the tokens inside them."""
+    parts, at = [], 0
+    for _, start, end in sorted(base, key=lambda span: span[1:]):
+        if end > at:
+            parts += [text[at:start], "\0" * (end - max(at, start))]
+            at = end
+    rest = "".join([*parts, text[at:]])
+    found = {match.span() for shape in (TOKEN, RUN) for match in shape.finditer(rest)}
+    return sorted(
+        (start, end)
+        for start, end in found
+        if end - start >= 6 and sum(map(str.isdigit, text[start:end])) >= 2
+    )
+
+
 def instances(text: str) -> list[dict]:
-    """Base spans and identifier-shaped tokens that overlap none, with their patterns."""
+    """Base spans and identifier-shaped stretches that overlap none, with their patterns."""
     base = base_spans(text)
-    found = [(kind, start, end) for kind, start, end in base]
-    taken = sorted((start, end) for _, start, end in base)
-    at, reach = 0, 0
-    for match in TOKEN.finditer(text):
-        while at < len(taken) and taken[at][0] < match.end():
-            reach = max(reach, taken[at][1])
-            at += 1
-        if reach <= match.start() and sum(map(str.isdigit, match[0])) >= 2:
-            found.append((FOUND, match.start(), match.end()))
+    found = [*base, *((FOUND, start, end) for start, end in candidates(text, base))]
     return [
         {
             "kind": kind,
@@ -259,9 +279,17 @@ def _spans(
         "patterns",
     )
     trusted = trusted_values(edges, rounds, min_seeds, min_confidence)
+    # Of a run and the tokens inside it only the widest trusted one stays.
+    before = (
+        Window.partitionBy("row")
+        .orderBy("start", F.desc("end"))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
     more = (
         each.where(F.col("kind") == FOUND)
         .join(trusted, "value", "left_semi")
+        .withColumn("reach", F.coalesce(F.max("end").over(before), F.lit(0)))
+        .where(F.col("end") > F.col("reach"))
         .groupBy("row")
         .agg(F.sort_array(F.collect_list(F.struct("kind", "start", "end"))).alias("more"))
     )
