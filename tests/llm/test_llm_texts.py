@@ -283,7 +283,8 @@ def test_identifiers_of_many_shapes_are_candidates(spark):
         text = f"the badge code, {shape}. Then"
         found = [(one["start"], one["end"]) for one in pii.instances(text)]
         assert (16, 16 + len(shape)) in found, shape
-    assert pii.instances("in 2024 a well-known e-mail, and/or p. 12 3rd") == []
+    found = pii.instances("in 2024 a well-known e-mail, and/or p. 12 3rd")
+    assert pii.FOUND not in [one["kind"] for one in found]
     rows = [(k, f"member number is a{k}b@mail.example.com today") for k in range(200)]
     rows += [(1000 + k, f"member number is {shape} today") for k, shape in enumerate(shapes)]
     frame = spark.createDataFrame(rows, "doc_id int, text string")
@@ -291,6 +292,33 @@ def test_identifiers_of_many_shapes_are_candidates(spark):
     assert {done[1000 + k] for k in range(len(shapes))} == {"member number is [FOUND] today"}
 
 
+def test_patterns_back_off_and_heed_other_values(spark):
+    rows = [(k, f"holder account number is a{k}b@mail.example.com today") for k in range(40)]
+    rows += [(100 + k, f"account number is KD-{7000 + k} today") for k in range(15)]
+    rows += [(200 + k, f"see page number a{k}c@mail.example.com here") for k in range(20)]
+    rows += [(300 + k, f"see page number {k} here") for k in range(15)]
+    rows += [(400, "see page number 12/KX345 here"), (401, "your account number is KD-1 today")]
+    frame = spark.createDataFrame(rows, "doc_id int, text string")
+    found = {r.doc_id: [s.kind for s in r.spans] for r in pii.find(frame).collect()}
+    assert all(found[100 + k] == [pii.FOUND] for k in range(15))
+    assert found[400] == [] and found[401] == [] and found[300] == []
+
+
+def test_identifiers_next_to_others_are_found(spark):
+    docs = frames.table(spark, "/root/testdata/sf0.1", "documents")
+    texts = {r.doc_id: r.text for r in docs.where("doc_id in (46, 1262, 1377, 7052)").collect()}
+    lost = {
+        46: "4845168114407329", 1262: "4550997810720808",
+        1377: "+1 (826) 555-4081", 7052: "+1 (843) 555-7672",
+    }
+    found = {r.doc_id: r.spans for r in pii.find(docs).where("size(spans) > 0").collect()}
+    for doc, value in lost.items():
+        spans = [texts[doc][s.start : s.end] for s in found[doc] if s.kind == pii.FOUND]
+        assert value in spans, (doc, spans)
+    for doc in (45, 1619):  # as long as a card, but without its check
+        assert all(s.kind != pii.FOUND for s in found.get(doc, []))
+
+
 # -- near-duplicates -----------------------------------------------------------------
 
 

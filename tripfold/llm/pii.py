@@ -1,10 +1,10 @@
 """Personal data in texts: fixed patterns, and identifiers found by the contexts they share.
 
-The spans of the fixed patterns are seeds.  The words around a seed make a lexical
-pattern; the pattern also surrounds other identifier-shaped tokens.  On the graph of
-patterns and values Spark then scores both sides in turn: a pattern by the share of its
-values that are trusted, a value by the best pattern around it.  Values that reach the
-threshold give further spans."""
+The spans of the fixed patterns are seeds.  Each gives several patterns: the words around
+it, fewer of them, and its shape, alone or beside a word or another seed.  The patterns also
+fit other identifier-shaped values.  On the graph of patterns and values Spark then scores
+both sides in turn: a pattern by its trusted values against those that are no identifiers, a
+value by the best pattern it fits.  Values that reach the threshold give further spans."""
 
 import hashlib
 import re
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tripfold.llm import frames
 
 KINDS = ("email", "ip", "card", "phone", "found")
-EMAIL, IP, CARD, PHONE, FOUND = range(5)
+EMAIL, IP, CARD, PHONE, FOUND, PLAIN = range(6)  # PLAIN: a number too short to be any
 
 #: The patterns of the base spans.
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -40,8 +40,19 @@ RUN = re.compile(
     + rf"\+?{GROUP})"
     + rf"(?:(?:[\x20./-]|(?<=\))|(?=\()){GROUP}|[A-Z]{{1,4}}(?=[\x20./-][0-9])))++(?!\w)"
 )
+#: The part of a run before or between groups of more digits than a phone's have.
+SHORT_RUN = re.compile(
+    RUN.pattern.replace("[0-9]++", "[0-9]{1,12}+").replace("[A-Z0-9]*+", "[A-Z0-9]{0,11}+")
+)
+GROUP_OF_DIGITS = re.compile("[0-9]+")
 WORD = re.compile(r"[^\W\d_]+")
+FILLER = re.compile(r"[^\W\d_]+|\0+")
 REACH = 60  # characters looked at on either side of a token
+NEAR = 3  # characters at most between neighbours
+
+#: Shaped like identifiers, but seldom any: dates, amounts, addresses out of range.
+DOUBTFUL = re.compile(r"[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]+\.[0-9]+|[0-9]+(?:\.[0-9]+){3}")
+UNKNOWN = 0.1  # what an unknown value counts against a pattern of three words
 
 ROUNDS = 3
 MIN_SEEDS = 5
@@ -94,43 +105,142 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return spans
 
 
-def pattern(text: str, start: int, end: int) -> str | None:
-    """Two words before and one behind, lower-cased; none without two words before."""
-    left = WORD.findall(text[max(0, start - REACH) : start])[-2:]
-    right = WORD.findall(text[end : end + REACH])[:1]
-    return " ".join([*left, "_", *right]).lower() if len(left) == 2 else None
+def card_digits(value: str) -> int:
+    """The number of digits of a value as long as a card's, else 0."""
+    digits = value.replace(" ", "").replace("-", "")
+    return len(digits) if 16 <= len(digits) <= 19 and digits.isdecimal() else 0
+
+
+def shape(value: str) -> str:
+    """Digits and letters by class, with their number; cards by their length and check."""
+    size = card_digits(value)
+    if size and luhn(value.replace(" ", "").replace("-", "")):
+        return f"card{size}"
+    told = re.sub("[0-9]", "9", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", value)))
+    told = re.sub(r"(.)\1+", lambda run: f"{run[1]}{len(run[0])}", told)
+    return told if len(told) <= REACH else hashlib.sha256(told.encode()).hexdigest()
 
 
-def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Identifier-shaped stretches between the base spans, runs and the tokens inside them."""
+def masked(text: str, spans: list[tuple[int, int]]) -> str:
     parts, at = [], 0
-    for _, start, end in sorted(base, key=lambda span: span[1:]):
+    for start, end in sorted(spans):
         if end > at:
             parts += [text[at:start], "\0" * (end - max(at, start))]
             at = end
-    rest = "".join([*parts, text[at:]])
-    found = {match.span() for shape in (TOKEN, RUN) for match in shape.finditer(rest)}
-    return sorted(
+    return "".join([*parts, text[at:]])
+
+
+def cards_in_row(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """Cards of whole groups inside digits that are too many for one."""
+    groups = [match.span() for match in GROUP_OF_DIGITS.finditer(text, start, end)]
+    for k, (first, _) in enumerate(groups):
+        digits = ""
+        for left, last in groups[k : k + 19]:
+            digits += text[left:last]
+            if len(digits) > 19:
+                break
+            if len(digits) >= 16 and luhn(digits):
+                yield first, last
+
+
+def candidates(
+    text: str, base: list[tuple[int, int, int]]
+) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Identifier-shaped stretches between the base spans, runs and the tokens inside them;
+    then the tokens with digits outside of them."""
+    rest = masked(text, [(start, end) for _, start, end in base])
+    tokens = [match.span() for match in TOKEN.finditer(rest)]
+    found = set(tokens)
+    for run in RUN.finditer(rest):
+        found.add(run.span())
+        found |= {part.span() for part in SHORT_RUN.finditer(rest, *run.span())}
+    for run in DIGITS.finditer(rest):
+        if run.end() - run.start() > 19:
+            found |= set(cards_in_row(rest, *run.span()))
+    found = sorted(
         (start, end)
         for start, end in found
         if end - start >= 6 and sum(map(str.isdigit, text[start:end])) >= 2
     )
+    plain, at, reach = [], 0, 0
+    for start, end in tokens:
+        while at < len(found) and found[at][0] < end:
+            reach = max(reach, found[at][1])
+            at += 1
+        if reach <= start:
+            plain.append((start, end))
+    return found, plain
+
+
+def word_patterns(text: str, start: int, end: int) -> list[str]:
+    """Two words before and one behind, then two before, then one on either side."""
+    left = WORD.findall(text[max(0, start - REACH) : start].lower())[-2:]
+    right = WORD.findall(text[end : end + REACH].lower())[:1]
+    found = []
+    if len(left) == 2:
+        found = [" ".join([*left, "_", *right]), " ".join([*left, "_", "*"])]
+    return [*found, " ".join(["*", left[-1], "_", *right])] if left and right else found
+
+
+def shape_patterns(
+    text: str, start: int, end: int, starts: dict[int, int], ends: dict[int, int]
+) -> list[str]:
+    """The shape beside the word on either side and beside a neighbouring seed; alone only
+    that of a card or a phone, which has a check or a sign of its own."""
+    own = shape(text[start:end])
+    found = [f"={own}"] if own.startswith(("card", "+")) else []
+    found += [f"{w} ={own}" for w in WORD.findall(text[max(0, start - REACH) : start].lower())[-1:]]
+    found += [f"={own} {w}" for w in WORD.findall(text[end : end + REACH].lower())[:1]]
+    for gap in range(NEAR + 1):
+        if start - gap in ends:
+            found.append(f"{KINDS[ends[start - gap]]}: ={own}")
+        if end + gap in starts:
+            found.append(f"={own} :{KINDS[starts[end + gap]]}")
+    return found
+
+
+def fillers(text: str, spans: list[tuple[int, int]]) -> dict[str, int]:
+    """For each pattern of three words, the distinct words that stand in its gap in the text."""
+    wanted = {pattern for one in spans for pattern in word_patterns(text, *one)[:1]}
+    words = FILLER.findall(masked(text, spans).lower())
+    found = {}
+    for before, left, word, right in zip(
+        words, words[1:], words[2:], words[3:], strict=False
+    ):
+        pattern = f"{before} {left} _ {right}"
+        if pattern in wanted and not word.startswith("\0"):
+            found.setdefault(pattern, set()).add(word)
+    return {pattern: len(own) for pattern, own in found.items()}
 
 
 def instances(text: str) -> list[dict]:
-    """Base spans and identifier-shaped stretches that overlap none, with their patterns."""
+    """Base spans, identifier-shaped stretches that overlap none, and plain numbers, with
+    their patterns: what an unknown value weighs against each, and the words seen there."""
     base = base_spans(text)
-    found = [*base, *((FOUND, start, end) for start, end in candidates(text, base))]
-    return [
-        {
-            "kind": kind,
-            "start": start,
-            "end": end,
-            "value": hashlib.sha256(text[start:end].encode()).hexdigest(),
-            "pattern": pattern(text, start, end),
-        }
-        for kind, start, end in found
-    ]
+    likely, plain = candidates(text, base)
+    found = [*base, *((FOUND, *span) for span in likely), *((PLAIN, *span) for span in plain)]
+    seen = fillers(text, [(start, end) for _, start, end in found]) if base or likely else {}
+    starts = {start: kind for kind, start, _ in base}
+    ends = {end: kind for kind, _, end in base}
+    out = []
+    for kind, start, end in found:
+        value = text[start:end]
+        words = word_patterns(text, start, end)
+        shaped = kind in (CARD, PHONE, FOUND)
+        shapes = shape_patterns(text, start, end, starts, ends) if shaped else []
+        doubtful = kind != FOUND or card_digits(value) or DOUBTFUL.fullmatch(value)
+        whole = words[:1] if len(words) > 1 and not doubtful else []
+        patterns = [
+            {
+                "pattern": pattern,
+                "weight": UNKNOWN if pattern in whole else 1.0,
+                "against": seen.get(pattern, 0),
+            }
+            for pattern in dict.fromkeys([*words, *shapes])
+        ]
+        value = hashlib.sha256(value.encode()).hexdigest()
+        out.append({"kind": kind, "start": start, "end": end, "value": value, "patterns": patterns})
+    return out
 
 
 def trusted_values(
@@ -139,21 +249,29 @@ def trusted_values(
     min_seeds: int = MIN_SEEDS,
     min_confidence: float = MIN_CONFIDENCE,
 ) -> DataFrame:
-    """Values that high-confidence patterns surround, from edges (pattern, value, seed).
-
-    Each round scores a pattern by the mean trust of its distinct values, if at least
-    ``min_seeds`` of them are trusted, and then a value by the best of its patterns.
-    Trust is 1 for a seed and else the value's score where that reaches
-    ``min_confidence``.  Both steps aggregate before they shuffle; the scored patterns
-    and values are staged each round, which keeps the plan short."""
+    """Values that high-confidence patterns fit, from edges (pattern, value, seed, plain,
+    weight, against).
+
+    Each round scores a pattern, if at least ``min_seeds`` of its distinct values are
+    trusted, by their trust over the trusted values, the weights of the others and the words
+    seen in their place; then a value by the best of its patterns.  Trust is 1 for a seed
+    and else the value's score where that reaches ``min_confidence``; plain values never
+    gain any.  Both steps aggregate before they shuffle; the trusted values are staged each
+    round, which keeps the plan short."""
     trusted = edges.where("seed").select("value").distinct().withColumn("trust", F.lit(1.0))
-    fresh = edges.where(~F.col("seed"))
+    fresh = edges.where(~F.col("seed") & ~F.col("plain")).select("pattern", "value")
     for _ in range(rounds):
         patterns = (
             edges.join(trusted, "value", "left")
             .groupBy("pattern")
             .agg(
-                F.avg(F.coalesce("trust", F.lit(0.0))).alias("confidence"),
+                (
+                    F.sum("trust")
+                    / F.sum(
+                        F.when(F.col("trust").isNull(), F.col("weight")).otherwise(1.0)
+                        + F.col("against")
+                    )
+                ).alias("confidence"),
                 F.count("trust").alias("seeds"),
             )
             .where((F.col("seeds") >= min_seeds) & (F.col("confidence") >= min_confidence))
@@ -246,13 +364,16 @@ def _scan(rows: DataFrame, keep: bool = False) -> DataFrame:
     kept = [c for c in rows.columns if keep or c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edge = pa.struct(
+            [("pattern", pa.string()), ("weight", pa.float64()), ("against", pa.int32())]
+        )
         kind = pa.struct(
             [
                 ("kind", pa.int32()),
                 ("start", pa.int32()),
                 ("end", pa.int32()),
                 ("value", pa.string()),
-                ("pattern", pa.string()),
+                ("patterns", pa.list_(edge)),
             ]
         )
         for batch in frames.slices(batches):
@@ -263,7 +384,8 @@ def _scan(rows: DataFrame, keep: bool = False) -> DataFrame:
             )
 
     schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept)
-    one = "struct<kind:int,start:int,end:int,value:string,pattern:string>"
+    edge = "struct<pattern:string,weight:double,against:int>"
+    one = f"struct<kind:int,start:int,end:int,value:string,patterns:array<{edge}>>"
     return rows.mapInArrow(run, f"{schema}, instances array<{one}>")
 
 
@@ -273,9 +395,15 @@ def _spans(
     """The scanned rows with ``spans``: base spans, and those of trusted values."""
     each = scanned.select("row", F.explode("instances").alias("one")).select("row", "one.*")
     edges = frames.staged(
-        each.where(F.col("pattern").isNotNull())
+        each.select("kind", "value", F.explode("patterns").alias("edge"))
+        .select("kind", "value", "edge.*")
         .groupBy("pattern", "value")
-        .agg(F.max(F.col("kind") < FOUND).alias("seed")),
+        .agg(
+            F.max(F.col("kind") < FOUND).alias("seed"),
+            F.min(F.col("kind") == PLAIN).alias("plain"),
+            F.max("weight").alias("weight"),
+            F.sum("against").alias("against"),
+        ),
         "patterns",
     )
     trusted = trusted_values(edges, rounds, min_seeds, min_confidence)
