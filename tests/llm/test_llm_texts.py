@@ -220,6 +220,18 @@ def test_owners_tell_live_from_example(spark, empty):
     assert secret_scan.scan(empty).count() == 0
 
 
+def test_copies_of_one_owner_stay_live(spark):
+    bare, named, shared = "q7Zx02LmPw9rT4vK81sY", "mB5tQ8wLz3Rk6Yp1Nc7D", "Ab3dEf6hIj9kLm2nOp5q"
+    rows = [(k, f"use {bare} here; secret: {named}", "me") for k in range(30)]
+    rows += [(100 + k, f"use {shared} here", f"owner{k % 2}") for k in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    found = {r.doc_id: r.spans for r in secret_scan.scan(frame).collect()}
+    for k in range(30):
+        told = [(s.kind, s.owners, s.repositories, s.verdict) for s in found[k]]
+        assert told == [("live", 1, 30, "live"), ("assign", 1, 30, "live")]
+        assert found[100 + k] == []
+
+
 def test_personal_spans_equal_the_patterns(spark, documents):
     kinds = ("email", "ip", "card", "phone")
     patterns = (

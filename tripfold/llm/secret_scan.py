@@ -3,7 +3,8 @@
 Fixed patterns give the base spans.  Every candidate value, those of the base spans and
 other random-looking tokens, is then counted over the whole corpus by distinct
 repositories and owners: a value that several owners hold is a copied example, one that
-a single owner holds and that looks random is a live credential."""
+a single owner holds, in however many repositories, and that looks random is a live
+credential."""
 
 import hashlib
 import math
@@ -102,10 +103,10 @@ def scan(
 
     ``spans`` is an array of (start, end, kind, value hash, owners, repositories, verdict)
     by start and kind; offsets are code points, the end is exclusive.  The kinds assign,
-    access and hex are always kept; a span of kind live is kept only for a value that at
-    most ``max_owners`` owners and ``max_repositories`` repositories hold.  The verdict of
-    any span is "live" for such a value that looks random, "example" for one that more
-    hold, else "plain".  No value leaves the scan, only its hash.
+    access and hex are always kept; a span of kind live is kept only for a value that one
+    owner holds, or at most ``max_owners`` owners and ``max_repositories`` repositories.  The
+    verdict of any span is "live" for such a value that looks random, "example" for one that
+    more hold, else "plain".  No value leaves the scan, only its hash.
 
     A null text counts as empty and has no span.  A null owner or repository counts as one
     owner or repository of its own.  Null identifiers and repeated rows are kept as they
@@ -151,7 +152,9 @@ def scan(
         .groupBy("value")
         .agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
     )
-    rare = (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)
+    # Copies of a document are repositories too, so their number tells nothing of one owner.
+    few = (F.col("owners") == 1) | (F.col("repositories") <= max_repositories)
+    rare = (F.col("owners") <= max_owners) & few
     verdict = F.when(~rare, "example").when(F.col("live"), "live").otherwise("plain")
     spans = (
         each.join(held, "value")
