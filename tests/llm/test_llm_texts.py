@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -390,6 +391,16 @@ def test_near_duplicates_of_awkward_and_no_rows(awkward, empty):
     assert minhash.near_duplicates(empty).count() == 0
 
 
+def test_stated_chance_to_miss_a_pair():
+    size, share = minhash.COORDINATES, minhash.PERCENT / 100
+    missed = sum(
+        math.comb(size, k) * share**k * (1 - share) ** (size - k) for k in range(minhash.MATCHES)
+    )
+    with open(minhash.__file__) as file:
+        stated = float(re.search(r"#: of ([0-9.]+) in ten million", file.read())[1])
+    assert abs(1e7 * missed - stated) < 0.05
+
+
 def test_short_texts_are_one_shingle():
     assert len(shingles.shingle_set("\xa0")) == 1 and len(shingles.shingle_set(" ")) == 0
     assert shingles.shingle_set("A b\tc").tolist() == shingles.shingle_set("a B\x0bc").tolist()

@@ -28,7 +28,7 @@ from tripfold.llm.components import components
 
 COORDINATES = 64
 #: At a similarity of 0.75, 48 of 64 values agree on average; fewer than 30 with a chance
-#: below one in ten million.
+#: of 3.8 in ten million.
 MATCHES = 30
 PERCENT = 75
 SHORT_LIST = 8
