@@ -8,17 +8,21 @@ from pyspark.sql import functions as F
 
 from tripfold.llm import (
     byte_bpe,
+    clustering,
+    divergence,
     embedding_dedup,
     frames,
     language,
     minhash,
     nearest,
+    oracle,
     packing,
     pii,
     quality,
     sampling,
     secret_scan,
     token_count,
+    toxicity,
 )
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -140,6 +144,27 @@ def op10_token_count(spark: SparkSession, folder: str) -> DataFrame:
     return token_count.over_limit(token_count.token_counts(docs, vocabulary(WORD_VOCABULARY)))
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = frames.table(spark, folder, "documents")
+    model = toxicity.learn(docs, frames.table(spark, folder, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        sampling.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+def op12_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    found = clustering.cluster(frames.table(spark, folder, "embeddings"))
+    written = F.array_join(F.col("centroid").cast("array<string>"), ",")
+    return found.withColumn("centroid_sha256", _digest(written)).drop("centroid")
+
+
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(frames.table(spark, folder, "documents"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -159,9 +184,12 @@ QUERIES = {
         op8_nearest,
         op9_byte_bpe,
         op10_token_count,
+        op11_toxicity,
+        op12_centroid_clustering,
+        op13_source_divergence,
         pipeline,
     )
 }
 
 #: SQL for an independent engine; what is missing here is tested against brute force.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = oracle.SQL
