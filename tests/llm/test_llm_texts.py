@@ -229,10 +229,110 @@ def test_copies_of_one_owner_stay_live(spark):
     found = {r.doc_id: r.spans for r in secret_scan.scan(frame).collect()}
     for k in range(30):
         told = [(s.kind, s.owners, s.repositories, s.verdict) for s in found[k]]
-        assert told == [("live", 1, 30, "live"), ("assign", 1, 30, "live")]
+        assert told == [("live", 1, 1, "live"), ("assign", 1, 1, "live")]
         assert found[100 + k] == []
 
 
+def test_many_texts_of_one_owner_and_unowned_copies_are_examples(spark):
+    spread, loose = "q7Zx02LmPw9rT4vK81sY", "Ab3dEf6hIj9kLm2nOp5q"
+    most = secret_scan.MAX_REPOSITORIES
+    rows = [(k, f"text {k} has {spread}", "me") for k in range(most + 1)]
+    rows += [(100 + k, f"text {k} token={loose}", None) for k in range(2)]
+    rows += [(200 + k, "one text, token=zX81pLq0Vb7Tn3Rc2Mwy", None) for k in range(3)]
+    frame = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    found = {r.doc_id: r.spans for r in secret_scan.scan(frame).collect()}
+    assert all(found[k] == [] for k in range(most + 1))
+    assert [s.verdict for k in range(2) for s in found[100 + k]] == ["example"] * 2
+    assert [s.verdict for k in range(3) for s in found[200 + k]] == ["live"] * 3
+    few = {r.doc_id: r.spans for r in secret_scan.scan(frame.where(f"doc_id < {most}")).collect()}
+    assert all([s.kind for s in few[k]] == ["live"] for k in range(most))
+
+
+def plain_verdicts(rows, most_owners, most_repositories):
+    """Owners and texts of every value, counted in plain Python over the same candidates."""
+    holders = {}
+    spans = {}
+    for doc, text, owner in rows:
+        spans[doc] = secret_scan.candidates(text or "")
+        for one in spans[doc]:
+            at = owner if owner is not None else ("unknown", text)
+            holders.setdefault(one["value"], set()).add((at, text))
+    told = {}
+    for doc, found in spans.items():
+        told[doc] = []
+        for one in sorted(found, key=lambda s: (s["start"], s["kind"])):
+            held = holders[one["value"]]
+            owners, texts = len({o for o, _ in held}), len(held)
+            rare = owners <= most_owners and texts <= most_repositories
+            if one["kind"] < secret_scan.LIVE or rare:
+                verdict = "example" if not rare else "live" if one["live"] else "plain"
+                told[doc].append((one["start"], one["end"], owners, texts, verdict))
+    return told
+
+
+@pytest.mark.parametrize(("owners", "repositories"), [(1, 20), (2, 3), (1, 1)])
+def test_verdicts_equal_brute_force(spark, owners, repositories):
+    random = np.random.default_rng(owners * 10 + repositories)
+    values = ["q7Zx02LmPw9rT4vK81sY", "Ab3dEf6hIj9kLm2nOp5q", "0f" * 12, "zX81pLq0Vb7Tn3Rc2Mwy"]
+    forms = ["see {}", "token={}", "a {} b secret: {}", "none", ""]
+    rows = []
+    for k in range(60):
+        form = forms[random.integers(5)].replace("{}", values[random.integers(4)])
+        rows.append((k, form, [None, "a", "b", "c", ""][random.integers(5)]))
+    rows.append((60, None, "a"))
+    frame = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    found = secret_scan.scan(frame, max_owners=owners, max_repositories=repositories).collect()
+    expected = plain_verdicts(rows, owners, repositories)
+    for r in found:
+        told = [(s.start, s.end, s.owners, s.repositories, s.verdict) for s in r.spans]
+        assert told == expected[r.doc_id]
+
+
+def test_secret_words_are_ascii_in_either_case():
+    kelvin, long_s = "to\u212aen: abcdefgh1", "\u017fecret: abcdefgh1 and the word token"
+    assert secret_scan.base_spans(kelvin) == [] and secret_scan.base_spans(long_s) == []
+    assert [s[1] for s in secret_scan.base_spans("Api_KEY='abcdef' PASSWD=abcdef")] == [0, 0]
+
+
+def test_secrets_of_awkward_rows(spark, awkward):
+    repeated = [(None, "token=Ab3dEf6hIj9kLm2nOp5q", "en", "s", 1, "x")] * 2
+    more = awkward.unionByName(spark.createDataFrame(repeated, awkward.schema))
+    found = secret_scan.scan(more.withColumnRenamed("kept", "owner")).collect()
+    assert len(found) == more.count()
+    assert [s.verdict for r in found if r.doc_id is None for s in r.spans] == ["live"] * 2
+
+
+def test_random_texts_encode_as_the_library_does():
+    import random
+
+    random_ = random.Random(5)
+    encode = library().encode
+    near = list("ab'stmdrevl  \n\t1.é\x1c\xa0\x85İſ<|") + [chr(c) for c in range(32, 0x250)]
+    wide = [chr(c) for c in range(0x250, 0x3000)] + [chr(c) for c in range(0x10000, 0x20000)]
+    for number in range(3000):
+        pool = near if number % 3 else wide + near
+        text = "".join(random_.choices(pool, k=random_.randint(0, 20)))
+        text += "<|startoftext|>" * (number % 50 == 0)
+        ids = encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(packing.token_bytes([text], WORD)[0], "<u4").tolist() == ids, text
+        assert token_count.count_tokens(text, WORD) == len(ids), text
+
+
+def test_caches_are_bounded_by_bytes_and_given_up():
+    from tripfold.llm import words
+
+    cache = words.Bounded(len, limit=1000)
+    words.working("one kind")
+    for k in range(100):
+        assert cache["x" * k] == k
+        assert cache.held <= 1000 + words.Bounded.ENTRY_BYTES + 108
+    assert cache
+    words.working("one kind")
+    assert cache
+    words.working("another")
+    assert not cache and cache.held == 0
+
+
 def test_personal_spans_equal_the_patterns(spark, documents):
     kinds = ("email", "ip", "card", "phone")
     patterns = (

@@ -8,14 +8,16 @@ from functools import cache, lru_cache
 END_OF_WORD = "</w>"
 
 
-def merge_symbols(symbols: list[int], pairs: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """Merge adjacent symbols, lowest rank first and leftmost among equals.
+def _merged(
+    symbols: list[int], pairs: dict[tuple[int, int], tuple[int, int]]
+) -> int:
+    """Merge adjacent symbols in place, lowest rank first and leftmost among equals; returns
+    how many merges there were.  A symbol that went into the one before it becomes -1.
 
     ``pairs`` gives rank and merged symbol of a pair.  The symbols form a linked list; an
     entry of the heap is stale when either of its symbols has changed since, which costs
     n log n where rescanning for the best pair would cost n squared."""
-    count = len(symbols)
-    symbols = list(symbols)
+    count, merges = len(symbols), 0
     after = list(range(1, count + 1))
     before = list(range(-1, count - 1))
     heap = []
@@ -29,6 +31,7 @@ def merge_symbols(symbols: list[int], pairs: dict[tuple[int, int], tuple[int, in
         other = after[at]
         if symbols[at] != left or other >= count or symbols[other] != right:
             continue
+        merges += 1
         symbols[at], symbols[other] = merged, -1
         beyond = after[at] = after[other]
         if beyond < count:
@@ -41,12 +44,19 @@ def merge_symbols(symbols: list[int], pairs: dict[tuple[int, int], tuple[int, in
             found = pairs.get((symbols[prior], merged))
             if found:
                 heapq.heappush(heap, (found[0], prior, symbols[prior], merged, found[1]))
-    return [symbol for symbol in symbols if symbol >= 0]
+    return merges
+
+
+def merge_symbols(symbols: list[int], pairs: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
+    """The symbols that remain, in order."""
+    held = list(symbols)
+    _merged(held, pairs)
+    return [symbol for symbol in held if symbol >= 0]
 
 
 def count_merged(symbols: list[int], pairs: dict[tuple[int, int], tuple[int, int]]) -> int:
     """How many symbols remain: those at the start less one for each merge."""
-    return len(merge_symbols(symbols, pairs))
+    return len(symbols) - _merged(list(symbols), pairs)
 
 
 @cache

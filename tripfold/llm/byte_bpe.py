@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tripfold.llm import bpe, frames
-from tripfold.llm.words import Bounded
+from tripfold.llm.words import Bounded, working
 
 #: White space as the pattern means it.
 WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)]
@@ -208,6 +208,7 @@ def encode(
     empty table gives an empty result; extra columns are ignored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        working("byte_bpe")
         for batch in frames.slices(batches):
             coded = encode_texts(batch.column("text").to_pylist(), path)
             yield pa.RecordBatch.from_arrays(

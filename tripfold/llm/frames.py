@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tripfold.session import stage
 
@@ -42,24 +43,34 @@ def drop_staged(frame: DataFrame) -> None:
         path.getFileSystem(settings).delete(path, True)
 
 
-def beside(docs: DataFrame, text_col: str, compute, schema: str) -> DataFrame:
-    """What ``compute`` makes of each whole text, beside ``rest``, a struct of all columns.
+def beside(
+    docs: DataFrame, text_col: str, compute, schema: str, keep: list[str] | None = None
+) -> DataFrame:
+    """What ``compute`` makes of each whole text, beside ``rest``, a struct of the columns
+    ``keep`` names (all if none are named).
 
     ``compute`` takes a list of texts, a null text as empty, and returns one list for each
-    column of ``schema``.  Rows need no key and are not shuffled."""
-    rows = docs.select(
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("rest"),
-    )
+    column of ``schema``.  Every column goes to Python once, and back once if it is kept;
+    names of their own let no column clash.  Rows need no key and are not shuffled."""
+    kept = docs.columns if keep is None else keep
+    own = [f"__{k}" for k in range(len(kept))]
+    columns = [F.col(f"`{c}`").alias(name) for c, name in zip(kept, own, strict=True)]
+    text = own[kept.index(text_col)] if text_col in kept else "__text"
+    if text == "__text":
+        columns.append(F.col(f"`{text_col}`").alias(text))
+    rows = docs.select(*columns)
+    found = StructType.fromDDL(schema).fields
+    names = [*own, *[field.name for field in found]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = compute(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("rest"), *found], names)
+            computed = compute([t or "" for t in batch.column(text).to_pylist()])
+            arrays = [batch.column(name) for name in own]
+            yield pa.RecordBatch.from_arrays([*arrays, *computed], names)
 
-    names = ["rest", *[part.split()[0] for part in schema.split(", ")]]
-    rest = rows.schema["rest"].dataType.simpleString()
-    return rows.mapInArrow(run, f"rest {rest}, {schema}")
+    done = rows.mapInArrow(run, StructType([*[rows.schema[name] for name in own], *found]))
+    rest = F.struct(*[F.col(name).alias(c) for c, name in zip(kept, own, strict=True)])
+    return done.select(rest.alias("rest"), *[field.name for field in found])
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:

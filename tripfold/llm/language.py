@@ -137,17 +137,15 @@ def learn(
 ) -> Model:
     """A model from rows with a language that are not held out.
 
-    At most ``max_rows`` rows are learned from, as many of each language; only their
-    feature counts reach the driver, 2 bytes a bucket.  No labelled row gives a model that
-    determines nothing."""
+    At most ``max_rows`` identifiers are learned from, as many of each language, and one row
+    of each, that of the least language and text; only their feature counts reach the
+    driver, 2 bytes a bucket.  No labelled row gives a model that determines nothing."""
     rows = frames.narrow(docs, doc_id=id_col, text=text_col, lang=lang_col)
     labelled = rows.where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~sampling.held_out()
     )
     count = labelled.select("lang").distinct().count()
     chosen = sampling.bounded(labelled.select("doc_id", "lang"), "lang", max_rows // max(1, count))
-    # Repeated identifiers must not multiply the sample.
-    chosen = chosen.select("doc_id").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in frames.slices(batches):
@@ -159,7 +157,9 @@ def learn(
                 [batch.column("lang"), pa.array(rows, pa.binary())], ["lang", "features"]
             )
 
-    sample = labelled.join(F.broadcast(chosen), "doc_id", "left_semi").select("text", "lang")
+    kept = F.broadcast(chosen.withColumnRenamed("doc_id", "__id"))
+    sample = labelled.join(kept.drop("lang"), F.col("doc_id").eqNullSafe(F.col("__id")))
+    sample = sampling.one_row_each(sample.select("doc_id", "lang", "text")).select("text", "lang")
     table = sample.mapInArrow(run, "lang string, features binary").toArrow()
     table = table.sort_by([("lang", "ascending"), ("features", "ascending")])
     matrix = np.empty((table.num_rows, BUCKETS), dtype=np.float16)
@@ -171,8 +171,11 @@ def learn(
     return Model(matrix, languages)
 
 
-def identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """One row per input row: ``rest``, a struct of its columns, lang_pred and score.
+def identified(
+    docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None
+) -> DataFrame:
+    """One row per input row: ``rest``, a struct of its columns or of those ``keep`` names,
+    lang_pred and score.
 
     Null, empty and letterless texts give ``und`` with score 0.  Null identifiers and
     repeated rows are kept as they are, and an empty table gives an empty result."""
@@ -185,7 +188,7 @@ def identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
             pa.array([score for _, score in found], pa.float64()),
         ]
 
-    return frames.beside(docs, text_col, compute, "lang_pred string, score double")
+    return frames.beside(docs, text_col, compute, "lang_pred string, score double", keep)
 
 
 def identify(
@@ -193,5 +196,6 @@ def identify(
 ) -> DataFrame:
     """doc_id, lang_pred and score of each row, see ``identified``; extra columns are
     ignored."""
-    found = identified(frames.narrow(docs, doc_id=id_col, text=text_col), model)
+    narrow = frames.narrow(docs, doc_id=id_col, text=text_col)
+    found = identified(narrow, model, keep=["doc_id"])
     return found.select("rest.doc_id", "lang_pred", "score")

@@ -6,7 +6,6 @@ then take their places by their rank within the length."""
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,29 +36,19 @@ class Limits:
 # -- tokenising ----------------------------------------------------------------------
 
 
-@lru_cache(maxsize=1)
-def _library(path: str):
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
-
-
-@lru_cache(maxsize=1)
-def _known(path: str) -> tuple[dict[str, bytes], dict[str, bytes]]:
-    """What chunks and parts of chunks encode to, remembered for the worker's life."""
-    return {}, {}
+#: What parts of plain texts and other whole chunks encode to, remembered between tasks.
+_of_part = words.Bounded(limit=96 << 20)
+_of_chunk = words.Bounded(limit=16 << 20)
+PARTS_A_CALL = 500
 
 
-KNOWN_LIMIT = 500_000
-PARTS_A_CALL = 500
+def _coded(alone) -> list[bytes]:
+    return [np.array(one.ids, dtype="<u4").tobytes() for one in alone]
 
 
 def _encode_parts(parts: list[str], path: str) -> list[bytes]:
     """The library's ids of each part: one call for many, told apart by word numbers."""
-    library, result = _library(path), []
+    library, result = words.library(path), []
     for start in range(0, len(parts), PARTS_A_CALL):
         some = parts[start : start + PARTS_A_CALL]
         coded = library.encode(" ".join(some), add_special_tokens=False)
@@ -69,43 +58,51 @@ def _encode_parts(parts: list[str], path: str) -> list[bytes]:
         if len(numbers) and numbers[-1] == len(some) - 1 and (np.diff(cuts) > 0).all():
             result += [data[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False)]
         else:  # some part is no single word to the library
-            alone = library.encode_batch_fast(some, add_special_tokens=False)
-            result += [np.array(one.ids, dtype="<u4").tobytes() for one in alone]
+            result += _coded(library.encode_batch_fast(some, add_special_tokens=False))
     return result
 
 
-def _encode_chunks(chunks: list[str], path: str, of_part: dict[str, bytes]) -> list[bytes]:
-    """Ids of chunks from those of their parts; special strings are left to the library."""
-    split = [None if "<|" in chunk else words.parts(chunk) for chunk in chunks]
-    fresh = list({part for parts in split if parts for part in parts if part not in of_part})
-    of_part.update(zip(fresh, _encode_parts(fresh, path), strict=True))
-    special = iter(
-        _library(path).encode_batch_fast(
-            [c for c, parts in zip(chunks, split, strict=True) if parts is None],
-            add_special_tokens=False,
-        )
+def _encode_chunks(chunks: list[str], path: str) -> list[bytes]:
+    return _coded(words.library(path).encode_batch_fast(chunks, add_special_tokens=False))
+
+
+def _looked_up(split: list[list[str]], cache: words.Bounded, encode, path: str) -> list[bytes]:
+    """Ids of texts from those of their pieces; pieces not met before are encoded in bulk."""
+    found = [list(map(cache.get, pieces)) for pieces in split]
+    missing = [k for k, ids in enumerate(found) if None in ids]
+    fresh = list(
+        {p for k in missing for p, own in zip(split[k], found[k], strict=True) if own is None}
     )
-    return [
-        np.array(next(special).ids, dtype="<u4").tobytes()
-        if parts is None
-        else b"".join([of_part[part] for part in parts])
-        for parts in split
-    ]
+    new = dict(zip(fresh, encode(fresh, path), strict=True))
+    for k in missing:
+        pairs = zip(split[k], found[k], strict=True)
+        found[k] = [new[piece] if own is None else own for piece, own in pairs]
+    for piece, ids in new.items():
+        cache.keep(piece, ids)
+    return [b"".join(ids) for ids in found]
 
 
 def token_bytes(texts: list[str], path: str) -> list[bytes]:
     """The library's ids of each text, as little-endian unsigned 32-bit numbers.
 
     The vocabulary drops white space and never joins across it, nor across the parts of
-    its own pattern, so each part is encoded once, in bulk, and remembered."""
-    of_chunk, of_part = _known(path)
-    for known in (of_chunk, of_part):
-        if len(known) > KNOWN_LIMIT:
-            known.clear()
-    split = [words.chunks(text) for text in texts]
-    fresh = list({chunk for chunks in split for chunk in chunks if chunk not in of_chunk})
-    of_chunk.update(zip(fresh, _encode_chunks(fresh, path, of_part), strict=True))
-    return [b"".join([of_chunk[chunk] for chunk in chunks]) for chunks in split]
+    its own pattern, so a part is encoded once, in bulk, and remembered.  Texts with special
+    strings or characters beyond the plain ones go by whole chunks, which are the library's
+    from composition on."""
+    by_part = ["<|" not in text and words.plain(text) for text in texts]
+    split = [
+        words.parts(text, path) if own else words.chunks(text)
+        for text, own in zip(texts, by_part, strict=True)
+    ]
+    parts = iter(
+        _looked_up([p for p, own in zip(split, by_part, strict=True) if own], _of_part, _encode_parts, path)
+    )
+    chunks = iter(
+        _looked_up(
+            [p for p, own in zip(split, by_part, strict=True) if not own], _of_chunk, _encode_chunks, path
+        )
+    )
+    return [next(parts) if own else next(chunks) for own in by_part]
 
 
 def tokenised_pieces(
@@ -123,6 +120,7 @@ def tokenised_pieces(
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words.working("packing")
         for batch in frames.slices(batches):
             rows, piece, start, length, ids = [], [], [], [], []
             for row, data in enumerate(token_bytes(batch.column("text").to_pylist(), path)):
@@ -154,64 +152,94 @@ def tokenised_pieces(
 # -- planning ------------------------------------------------------------------------
 
 
+class _States:
+    """Bins that hold equally much, as arrays of what they hold and ranges of bin numbers."""
+
+    def __init__(self, limits: Limits):
+        self.capacity = np.array(
+            [limits.tokens, limits.documents, limits.attention], dtype=np.float64
+        )
+        self.weights, self.rule = np.array(limits.weights), limits.rule
+        self.used = np.zeros((64, 3))
+        self.ranges: list[list[list[int]]] = []
+        self.at: dict[tuple[int, int, int], int] = {}
+        self.alive = np.zeros(64, dtype=bool)
+
+    def ranges_of(self, state: tuple[int, int, int]) -> list[list[int]]:
+        """The ranges of a state, which may be empty; the caller fills them."""
+        row = self.at.get(state)
+        if row is None:
+            row = self.at[state] = len(self.ranges)
+            if row == len(self.used):
+                self.used = np.concatenate([self.used, np.zeros_like(self.used)])
+                self.alive = np.concatenate([self.alive, np.zeros_like(self.alive)])
+            self.used[row] = state
+            self.ranges.append([])
+        self.alive[row] = True
+        return self.ranges[row]
+
+    def emptied(self, state: tuple[int, int, int]) -> None:
+        self.alive[self.at[state]] = False
+        if len(self.ranges) > 256 and 4 * int(self.alive.sum()) < len(self.ranges):
+            rows = np.flatnonzero(self.alive)
+            self.ranges = [self.ranges[row] for row in rows]
+            used = self.used[rows]
+            self.at = {tuple(map(int, state)): row for row, state in enumerate(used)}
+            self.used = np.concatenate([used, np.zeros((len(rows) + 64, 3))])
+            self.alive = np.arange(len(self.used)) < len(rows)
+
+    def best(self, demand: np.ndarray) -> tuple[int, int, int] | None:
+        """The feasible state that fits best: the least weighted norm of what would remain,
+        or the largest weighted product of demand and what is left."""
+        rows = np.flatnonzero(self.alive)
+        remaining = self.capacity - self.used[rows]
+        fits = (remaining >= demand).all(axis=1)
+        if not fits.any():
+            return None
+        rows, remaining = rows[fits], remaining[fits]
+        if self.rule == "dot":
+            score = -(remaining * demand / self.capacity**2) @ self.weights
+        else:
+            score = (((remaining - demand) / self.capacity) ** 2) @ self.weights
+        return tuple(map(int, self.used[rows[int(np.argmin(score))]]))
+
+
 def plan(counts: dict[int, int], limits: Limits) -> np.ndarray:
     """Places for ``counts[length]`` pieces of each length, longest first.
 
     Bins that hold equally many tokens, documents and attention cost are one state, kept
-    as ranges of bin numbers.  Each length goes to the feasible state that fits best: the
-    least weighted norm of what would remain, or the largest weighted product of
-    demand and what is left.  Rows of the result: length, first rank, number of pieces,
+    as ranges of bin numbers.  Each length goes to the state that fits best, and to new
+    bins if none does.  Rows of the result: length, first rank, number of pieces,
     first bin, offset; piece ``first rank + i`` goes to bin ``first bin + i``."""
-    capacity = np.array([limits.tokens, limits.documents, limits.attention], dtype=np.float64)
-    weights = np.array(limits.weights)
-    states: dict[tuple[int, int, int], list[list[int]]] = {}
+    states = _States(limits)
     places: list[tuple[int, int, int, int, int]] = []
     bins = 0
     for length in sorted(counts, reverse=True):
         left, rank = counts[length], 0
-        demand = np.array([length, 1, length * length], dtype=np.float64)
-        if (demand > capacity).any():
+        cost = (length, 1, length * length)
+        demand = np.array(cost, dtype=np.float64)
+        if (demand > states.capacity).any():
             raise ValueError(f"a piece of {length} tokens fits no sequence")
         while left:
-            best = _best(states, demand, capacity, weights, limits.rule)
+            best, times = states.best(demand), 1
             if best is None:
-                fits = int(min(capacity // demand))
+                times = int(min(states.capacity // demand))
                 best = (0, 0, 0)
-                states[best] = [[bins, bins + -(-left // fits)]]
-                bins = states[best][0][1]
-                for _ in range(fits):
-                    taken = _place(states, best, length, left, rank, places)
-                    left, rank = left - taken, rank + taken
-                    best = (best[0] + length, best[1] + 1, best[2] + length * length)
-                    if not left:
-                        break
-            else:
+                states.ranges_of(best).append([bins, bins + -(-left // times)])
+                bins += -(-left // times)
+            for _ in range(times):
                 taken = _place(states, best, length, left, rank, places)
                 left, rank = left - taken, rank + taken
+                best = tuple(held + more for held, more in zip(best, cost, strict=True))
+                if not left:
+                    break
     return np.array(places, dtype=np.int64).reshape(-1, 5)
 
 
-def _best(states, demand, capacity, weights, rule):
-    if not states:
-        return None
-    keys = list(states)
-    remaining = capacity - np.array(keys, dtype=np.float64)
-    feasible = np.flatnonzero((remaining >= demand).all(axis=1))
-    if not len(feasible):
-        return None
-    residual = remaining[feasible] / capacity
-    if rule == "dot":
-        score = -(residual * (demand / capacity) * weights).sum(axis=1)
-    else:
-        score = (((residual - demand / capacity) ** 2) * weights).sum(axis=1)
-    return keys[feasible[np.argmin(score)]]
-
-
-def _place(states, state, length, left, rank, places) -> int:
+def _place(states: _States, state, length, left, rank, places) -> int:
     """One piece for each bin of a state, as far as pieces or bins go."""
-    ranges, taken = states.pop(state), 0
-    after = (state[0] + length, state[1] + 1, state[2] + length * length)
-    moved = states.setdefault(after, [])
+    moved = states.ranges_of((state[0] + length, state[1] + 1, state[2] + length * length))
+    ranges, taken = states.ranges_of(state), 0
     while ranges and taken < left:
         first, last = ranges.pop()
         number = min(last - first, left - taken)
@@ -220,8 +248,8 @@ def _place(states, state, length, left, rank, places) -> int:
         taken += number
         if first + number < last:
             ranges.append([first + number, last])
-    if ranges:
-        states[state] = ranges
+    if not ranges:
+        states.emptied(state)
     return taken
 
 

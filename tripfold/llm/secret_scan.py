@@ -2,9 +2,9 @@
 
 Fixed patterns give the base spans.  Every candidate value, those of the base spans and
 other random-looking tokens, is then counted over the whole corpus by distinct
-repositories and owners: a value that several owners hold is a copied example, one that
-a single owner holds, in however many repositories, and that looks random is a live
-credential."""
+repositories and owners: a value that several owners hold, or that stands in many different
+texts of one, is a copied example; a random-looking one that one owner holds in few texts is
+a live credential, however often these texts are copied."""
 
 import hashlib
 import math
@@ -22,9 +22,9 @@ KINDS = ("assign", "access", "hex", "live")
 ASSIGN, ACCESS, HEX, LIVE = range(4)
 
 #: The patterns of the base spans.
-WORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
+ASSIGNED = re.compile(r"(?ai:passw|secret|token|api_?key)")
 ASSIGNMENT = re.compile(
-    r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 )
 ACCESS_KEY = re.compile(r"AKIA[A-Z0-9]+")
 HEX_RUN = re.compile(r"[0-9a-f]{24,}")
@@ -55,8 +55,7 @@ def looks_live(value: str) -> bool:
 def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     """(start, kind, end, value) of the fixed patterns, in code points, by start and kind."""
     spans = []
-    plain = text.lower()
-    if any(word in plain for word in WORDS):
+    if ASSIGNED.search(text):
         for match in ASSIGNMENT.finditer(text):
             if len(match[1]) >= 6:
                 spans.append((match.start(), ASSIGN, match.end(), match[1]))
@@ -95,7 +94,7 @@ def scan(
     id_col: str = "doc_id",
     text_col: str = "text",
     owner_col: str = "source",
-    repository_col: str = "doc_id",
+    repository_col: str | None = None,
     max_owners: int = MAX_OWNERS,
     max_repositories: int = MAX_REPOSITORIES,
 ) -> DataFrame:
@@ -129,12 +128,16 @@ def scan(
                 [*batch.schema.names[:-1], "found"],
             )
 
-    rows = frames.texts(docs, id_col, text_col, owner=owner_col, repository=repository_col)
+    given = {"repository": repository_col} if repository_col else {}
+    rows = frames.texts(docs, id_col, text_col, owner=owner_col, **given)
+    repository = F.col("repository") if repository_col else F.xxhash64("text")
     rows = rows.select(
         "doc_id",
-        *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("owner", "repository")],
+        F.col("owner").cast("string").alias("owner"),
+        F.coalesce(repository.cast("string"), F.lit("")).alias("repository"),
         "text",
-    )
+    ).withColumn("owner", F.coalesce("owner", F.concat(F.lit("\0"), "repository")))
+    rows = rows.select("doc_id", "owner", "repository", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     scanned = rows.mapInArrow(
         run, f"doc_id {kind}, owner string, repository string, found {FOUND}"
@@ -152,9 +155,7 @@ def scan(
         .groupBy("value")
         .agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
     )
-    # Copies of a document are repositories too, so their number tells nothing of one owner.
-    few = (F.col("owners") == 1) | (F.col("repositories") <= max_repositories)
-    rare = (F.col("owners") <= max_owners) & few
+    rare = (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)
     verdict = F.when(~rare, "example").when(F.col("live"), "live").otherwise("plain")
     spans = (
         each.join(held, "value")

@@ -32,8 +32,8 @@ def _counter(path: str) -> words.Bounded:
         if special and any(text in chunk for text in special):
             plain = split(chunk)
             marks = len(plain) // 2
-            return marks + sum(of_part[p] for text in plain[::2] for p in words.parts(text))
-        return sum([of_part[part] for part in words.parts(chunk)])
+            return marks + sum(of_part[p] for text in plain[::2] for p in words.parts(text, path))
+        return sum([of_part[part] for part in words.parts(chunk, path)])
 
     return words.Bounded(tokens_of_chunk)
 
@@ -55,6 +55,7 @@ def token_counts(
     columns are ignored."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words.working("token_count")
         for batch in frames.slices(batches):
             counts = [count_tokens(text, path) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(

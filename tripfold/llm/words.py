@@ -1,13 +1,22 @@
 """Words between white space, cut into the parts a word-end vocabulary merges in."""
 
 import re
-import unicodedata
-from functools import cache
-
-import regex
-
-#: The split of the word-end vocabulary, and its idea of white space.
-PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+from functools import lru_cache
+
+import pyarrow as pa
+
+#: Below this character nothing composes, no lower case looks at its neighbours, and classes
+#: are the same in every Unicode version.
+PLAIN_END = "\u0180"
+#: The split of the word-end vocabulary for lower-cased text below PLAIN_END, and
+#: what is white space to it.
+LETTERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u017f"
+NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
+WHITE = "\t-\r \x85\xa0"
+PARTS = re.compile(
+    f"[{LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d|[{NUMBERS}]|[^{LETTERS}{NUMBERS}{WHITE}]+"
+)
+BEYOND_PLAIN = re.compile(f"[{PLAIN_END}-\U0010ffff]")
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 BLANKS = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
@@ -21,24 +30,30 @@ def chunks(text: str) -> list[str]:
     return text.split()
 
 
-@cache
-def _parts():
-    return regex.compile(PARTS.replace(r"\s", r"\p{White_Space}"))
+@lru_cache(maxsize=1)
+def library(path: str):
+    """The vocabulary's own library, one thread a task."""
+    import os
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
 
 
-def lowered(chunk: str) -> str:
-    """Composed and lower-cased one character at a time, without regard to context."""
-    if chunk.isascii():
-        return chunk.lower()
-    return "".join([character.lower() for character in unicodedata.normalize("NFC", chunk)])
+def plain(text: str) -> bool:
+    return text.isascii() or not BEYOND_PLAIN.search(text)
 
 
-def parts(chunk: str) -> list[str]:
-    """The parts of a chunk that holds no special string."""
-    plain = lowered(chunk)
-    if plain.isascii() and plain.isalpha():
-        return [plain]
-    return _parts().findall(plain)
+def parts(chunk: str, path: str) -> list[str]:
+    """The parts of a chunk, or of a whole plain text, that holds no special string.
+
+    Composition and the classes of characters beyond the plain ones are the library's."""
+    if plain(chunk):
+        return PARTS.findall(chunk.lower())
+    own = library(path)
+    normal = own.normalizer.normalize_str(chunk)
+    return [normal[a:b] for _, (a, b) in own.pre_tokenizer.pre_tokenize_str(normal)]
 
 
 def with_specials(special: list[str]):
@@ -48,14 +63,42 @@ def with_specials(special: list[str]):
 
 
 class Bounded(dict):
-    """A cache that starts anew when it is full; what it holds can always be computed again."""
+    """A cache of what can always be computed again, bounded by the bytes it holds.
+
+    It starts anew when it is full.  Caches belong to one kind of work; a worker that turns
+    to another kind gives them up, see ``working``."""
+
+    ENTRY_BYTES = 180  # a slot, two small objects and what the allocator adds
 
-    def __init__(self, make, limit: int = 400_000):
+    def __init__(self, make=None, limit: int = 48 << 20):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.held = make, limit, 0
+        _caches.append(self)
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[key] = self.make(key)
+        value = self.make(key)
+        self.keep(key, value)
         return value
+
+    def keep(self, key, value) -> None:
+        if self.held >= self.limit:
+            self.release()
+        self[key] = value
+        self.held += self.ENTRY_BYTES + len(key) + (8 if isinstance(value, int) else len(value))
+
+    def release(self) -> None:
+        self.clear()
+        self.held = 0
+
+
+_caches: list[Bounded] = []
+_work: list[str] = [""]
+
+
+def working(kind: str) -> None:
+    """Say what kind of work this worker's next task does; other work's caches go."""
+    if _work[0] != kind:
+        for cache in _caches:
+            cache.release()
+        _work[0] = kind
+        pa.default_memory_pool().release_unused()
