@@ -27,10 +27,23 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group, and one row of each document."""
-    gone = minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    return kept.dropDuplicates(["doc_id", "text"])
+    """One row of each group of near copies, that of the least document.
+
+    Rows are told apart by a number of their own, so a document that shares its identifier
+    with another one, or has none, is judged by its own text.  Rows without words stay."""
+    rows = docs.withColumn("__row", F.monotonically_increasing_id())
+    rows = frames.staged(rows, "numbered")
+    found = minhash.near_duplicates(rows, id_col="__row").select(
+        F.col("doc_id").alias("__row"), "component_id"
+    )
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
+    least = (
+        found.join(rows.select("__row", "doc_id"), "__row")
+        .groupBy("component_id")
+        .agg(F.min(order).alias("least"))
+        .select("least.__row")
+    )
+    return rows.join(least, "__row", "left_semi").select(*docs.columns)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
