@@ -3,9 +3,10 @@
 A block of vectors is cut into shards of neighbouring columns.  A task that holds a shard of
 a block needs only that slice of the centroids: it gives exact partial squared distances,
 which are added block by block before the nearest centroid is taken.  The assignments go back
-to the shards, and each shard's sums move its own slice.  What is shuffled in a round is one
-number for each vector, shard and centroid; the columns themselves stay where they are."""
+to the shards, and each shard's sums move its own slice.  The shards of a block are dealt to
+one partition once and stay there, so of a round only the sums are shuffled."""
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -116,6 +117,11 @@ class Moved:
         return after
 
 
+def by_block(key) -> int:
+    """Where a block goes, alone or with one of its shards."""
+    return zlib.crc32(str(key[1] if isinstance(key, tuple) else key).encode())
+
+
 class Lloyd:
     """The shards of all blocks, kept where they are dealt, and one round over them."""
 
@@ -124,12 +130,12 @@ class Lloyd:
         self.starts = list(range(0, dimensions, columns))
         self.columns = columns
         shards = staged.where("shard >= 0").select("shard", "block", "data").rdd
-        self.parts = max(2, shards.getNumPartitions())
         self.shards: RDD = (
             shards.map(lambda r: ((r.shard, r.block), bytes(r.data)))
-            .partitionBy(self.parts)
+            .partitionBy(max(2, shards.getNumPartitions()), by_block)
             .persist(StorageLevel.DISK_ONLY)
         )
+        self.parts = self.shards.getNumPartitions()
 
     def slices(self, centroids: np.ndarray) -> list[np.ndarray]:
         return [centroids[..., at : at + self.columns] for at in self.starts]
@@ -139,20 +145,21 @@ class Lloyd:
         near ones the first."""
         held = self.context.broadcast(self.slices(centroids))
 
-        def partial(shard):
-            (number, block), data = shard
-            own = held.value[number]
-            x = np.frombuffer(data, dtype=np.int64).reshape(-1, own.shape[1])
-            distance = np.empty((len(x), len(own)), dtype=np.int64)
-            for c, centre in enumerate(own):
-                distance[:, c] = ((x - centre) ** 2).sum(axis=1)
-            return block, distance
+        def partial(shards):
+            for (number, block), data in shards:
+                own = held.value[number]
+                x = np.frombuffer(data, dtype=np.int64).reshape(-1, own.shape[1])
+                distance = np.empty((len(x), len(own)), dtype=np.int64)
+                for c, centre in enumerate(own):
+                    distance[:, c] = ((x - centre) ** 2).sum(axis=1)
+                yield block, distance
 
         def least(distance):
             best = distance.argmin(axis=1)
             return best.astype(np.int32), distance[np.arange(len(best)), best]
 
-        return self.shards.map(partial).reduceByKey(np.add, self.parts).mapValues(least)
+        parts = self.shards.mapPartitions(partial, preservesPartitioning=True)
+        return parts.reduceByKey(np.add, self.parts, by_block).mapValues(least)
 
     def moved(self, centroids: np.ndarray) -> np.ndarray:
         """The centroids after one round; the driver sees one slice of them a shard."""
@@ -160,18 +167,22 @@ class Lloyd:
         numbers = range(len(self.starts))
         clusters = len(centroids)
 
+        def to_shards(assigned):
+            for block, (best, _) in assigned:
+                for number in numbers:
+                    yield (number, block), best
+
         def sums(pair):
-            (number, _), (data, best) = pair
+            (number, _), values = pair
+            data, best = sorted(values, key=lambda value: not isinstance(value, bytes))
             x = np.frombuffer(data, dtype=np.int64).reshape(len(best), -1)
             total = np.zeros((clusters, x.shape[1]), dtype=np.int64)
             for c in range(clusters):
                 total[c] = x[best == c].sum(axis=0)
             return number, Moved(total.astype(object), np.bincount(best, minlength=clusters))
 
-        assigned = self.nearest(centroids).flatMap(
-            lambda found: [((number, found[0]), found[1][0]) for number in numbers]
-        )
-        own = self.shards.join(assigned.partitionBy(self.parts), self.parts).map(sums)
+        assigned = self.nearest(centroids).mapPartitions(to_shards, preservesPartitioning=True)
+        own = self.shards.union(assigned).groupByKey(self.parts, by_block).map(sums)
         update = own.reduceByKey(lambda one, other: one + other, len(self.starts)).map(
             lambda pair: (pair[0], pair[1].slice(held.value[pair[0]]))
         )
