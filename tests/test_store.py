@@ -204,3 +204,40 @@ def test_column_names_match_without_regard_to_case(store):
             store.replace_month(both, "silver", "rows", "2026-02")
     finally:
         spark.conf.set("spark.sql.caseSensitive", before)
+
+
+def test_a_write_that_fails_leaves_the_old_month(store):
+    spark = store.spark
+    for within in ((), ("half",)):
+        name = f"rows_{len(within)}"
+        frame = month_rows(spark, "2026-01", 6).withColumn("half", (F.col("id") % 2).cast("string"))
+        store.replace_month(frame, "silver", name, "2026-01", within)
+        # The second task fails after the first has written its files.
+        failing = frame.unionByName(frame.withColumn("id", F.col("id") + 100)).withColumn(
+            "id", F.when(F.col("id") < 104, F.col("id")).otherwise(F.raise_error(F.lit("torn")).cast("bigint"))
+        )
+        with pytest.raises(Exception, match="torn"):
+            store.replace_month(failing, "silver", name, "2026-01", within)
+        assert counts(store, name) == {"2026-01": 6}
+        assert {r.id for r in store.table("silver", name).collect()} == set(range(6))
+
+
+def test_a_reader_under_way_outlives_one_replacement(store):
+    import os
+
+    spark = store.spark
+    store.replace_month(month_rows(spark, "2026-01", 3), "silver", "rows", "2026-01")
+    first = spark.read.parquet(*store.table("silver", "rows").inputFiles())
+    store.replace_month(month_rows(spark, "2026-01", 4), "silver", "rows", "2026-01")
+    assert first.count() == 3 and counts(store) == {"2026-01": 4}
+    paths = [f.removeprefix("file://") for f in first.inputFiles()]
+    store.replace_month(month_rows(spark, "2026-01", 5), "silver", "rows", "2026-01")
+    assert not any(map(os.path.exists, paths)) and counts(store) == {"2026-01": 5}
+
+
+def test_partitions_below_a_month_come_and_go(store):
+    spark = store.spark
+    frame = month_rows(spark, "2026-01", 6).withColumn("half", (F.col("id") % 2).cast("string"))
+    for kept, n in (("half = '1'", 3), ("id >= 0", 6), ("half = '0'", 3), ("id < 0", 0), ("id > 4", 1)):
+        store.replace_month(frame.where(kept), "silver", "rows", "2026-01", ("half",))
+        assert store.table("silver", "rows").count() == n

@@ -1,12 +1,10 @@
 """Star schema and marts."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripfold.functions.lookups import fits_broadcast, lookup_join
 
-PERCENTILE_ACCURACY = 10000
-
 
 # Computed columns of the staging model, in SQL so that a persistent view can use them.
 # The month goes through DATE: formatting a timestamp would involve the session zone.
@@ -75,9 +73,9 @@ def mart_pickup_activity(fact: DataFrame) -> DataFrame:
     )
 
 
-def mart_monthly_activity(fact: DataFrame) -> DataFrame:
-    """Calendar month of pickup, whichever file the record came in."""
-    return fact.groupBy("pickup_month").agg(
+def monthly_parts(fact: DataFrame) -> DataFrame:
+    """What each file month adds to each calendar month of pickup."""
+    return fact.groupBy("source_month", "pickup_month").agg(
         F.count("*").alias("trip_count"),
         _recorded("fare_amount").alias("recorded_fare_amount"),
         _recorded("total_amount").alias("recorded_total_amount"),
@@ -86,19 +84,47 @@ def mart_monthly_activity(fact: DataFrame) -> DataFrame:
     )
 
 
+def mart_monthly_activity(parts: DataFrame) -> DataFrame:
+    """Calendar month of pickup, whichever file the record came in, from monthly parts."""
+    money = ("recorded_fare_amount", "recorded_total_amount")
+    return parts.groupBy("pickup_month").agg(
+        F.sum("trip_count").alias("trip_count"),
+        *[F.sum(name).cast("decimal(28,2)").alias(name) for name in money],
+        F.sum("missing_fare_count").alias("missing_fare_count"),
+        F.sum("unusual_trip_count").alias("unusual_trip_count"),
+    )
+
+
 def mart_route_duration(fact: DataFrame) -> DataFrame:
-    """File month x route.  The median is a mergeable sketch, so a hot route is reduced
-    to one bounded sketch per task before it is shuffled."""
-    duration = F.col("duration_minutes")
-    return fact.groupBy(
+    """File month x route, with the exact lower median of the durations.
+
+    Records are first counted by route and duration, map-side and spread over all tasks, so
+    a hot route reaches one task as at most one row for each duration it has.  Running counts
+    over these rows give the median; no sketch is kept and no record is sorted."""
+    route = (
         "source_month",
         "pickup_zone_id",
         "dropoff_zone_id",
         "pickup_zone_name",
         "dropoff_zone_name",
-    ).agg(
-        F.count("*").alias("trip_count"),
-        F.avg(duration).alias("average_duration_minutes"),
-        F.percentile_approx(duration, 0.5, PERCENTILE_ACCURACY).alias("median_duration_minutes"),
-        _unusual().alias("unusual_trip_count"),
+    )
+    duration, n = F.col("duration_minutes"), F.col("n")
+    histogram = fact.groupBy(*route, "duration_minutes").agg(
+        F.count("*").alias("n"), _unusual().alias("unusual")
+    )
+    known = F.when(duration.isNotNull(), n)
+    of_route = Window.partitionBy(*route)
+    counted = histogram.select(
+        "*",
+        F.sum(known).over(of_route.orderBy("duration_minutes")).alias("up_to"),
+        F.sum(known).over(of_route).alias("known"),
+    )
+    # The middle of 2k or 2k - 1 durations is the k-th.
+    middle = F.when(2 * F.col("up_to") >= F.col("known"), duration)
+    total = F.sum(duration * n.cast("decimal(19,0)")).cast("decimal(27,6)")
+    return counted.groupBy(*route).agg(
+        F.sum(n).alias("trip_count"),
+        F.round(total / F.sum(known), 10).cast("decimal(31,10)").alias("average_duration_minutes"),
+        F.min(middle).alias("median_duration_minutes"),
+        F.sum("unusual").alias("unusual_trip_count"),
     )

@@ -126,7 +126,7 @@ class Feed:
 
     @cached_property
     def monthly_mart(self) -> DataFrame:
-        return models.mart_monthly_activity(self.fact)
+        return models.mart_monthly_activity(models.monthly_parts(self.fact))
 
     @cached_property
     def route_mart(self) -> DataFrame:

@@ -89,8 +89,8 @@ FIELDS = {
     "missing_fare_count": ("Records without a fare", "0 up to trip_count", "count over the fact"),
     "unusual_trip_count": ("Records with a warning", "0 up to trip_count", "count over the fact"),
     "average_duration_minutes": ("Mean duration", "0 or more", "average over the fact"),
-    "median_duration_minutes": ("Approximate median duration", "0 or more",
-                                "percentile sketch over the fact, accuracy 10000"),
+    "median_duration_minutes": ("Lower median duration", "0 or more",
+                                "exact, from counts of equal durations"),
     # ops
     "run_id": ("Run that wrote the row", RUN_DOMAIN, "job parameter"),
     "status": ("State of the month or of the step",
@@ -104,6 +104,9 @@ FIELDS = {
     "rejected_count": ("Rejected records", COUNT_DOMAIN, "count over silver"),
     "unusual_count": ("Accepted records with a warning", COUNT_DOMAIN, "count over silver"),
     "updated_at": ("When the status was written", "a timestamp", "clock"),
+    "model": ("Model of a gold generation", "a model's name", "gold build"),
+    "folder": ("Where a month of a model lies", "a path", "gold build"),
+    "generation": ("Gold generation", "running number and a random part", "gold build"),
     "test_run_id": ("Replay test", RUN_DOMAIN, "replay parameter"),
     "stage": ("Stage of the replay test", "BEFORE, AFTER, PASS, FAIL", "replay test"),
     "recorded_at": ("When the evidence was written", "a timestamp", "clock"),
@@ -126,6 +129,7 @@ TABLES = {
     "gold.mart_route_duration": "File month and route",
     "ops.run_events": "One event of a step, append only",
     "ops.month_status": "One row per month",
+    "ops.gold_parts": "One month of one model in a generation",
     "ops.reprocessing_evidence": "One piece of evidence of a replay test",
 }
 

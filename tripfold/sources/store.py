@@ -1,6 +1,13 @@
-"""Tables by month: idempotent replacement, pruned reads, status and events."""
+"""Tables by month: atomic replacement, pruned reads, status and events.
 
+A month is written to a folder of its own that no table reads yet, and then the catalog's
+partition is pointed at that folder.  A write that fails leaves the old month as it was."""
+
+import hashlib
+import threading
+import uuid
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +34,10 @@ CONTROL = {
     ),
 }
 ONE_ROW_A_MONTH = {"month_status"}
+#: Formats whose partitions may lie anywhere; others replace a partition in their own way.
+POINTED_FORMATS = {"parquet", "orc"}
+#: Partitions of this table are folders that were replaced, the last one of each month.
+REPLACED = "replaced_folders"
 
 #: Decimal digits of whole numbers by type, and of those that floating types hold exactly.
 WHOLE_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
@@ -75,6 +86,10 @@ def conformed(frame: DataFrame, schema: StructType, target: str) -> dict[str, Co
     return columns
 
 
+def quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 class MonthStore:
     def __init__(self, spark: SparkSession, config: FeedConfig):
         self.spark = spark
@@ -92,6 +107,11 @@ class MonthStore:
                 f"CREATE TABLE IF NOT EXISTS {self.config.name('ops', name)} ({columns}) "
                 f"USING {self.config.table_format} {by}"
             )
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.config.name('ops', REPLACED)} "
+            f"(unread INT, owner STRING, version STRING) "
+            f"USING {self.config.table_format} PARTITIONED BY (owner, version)"
+        )
 
     def record(self, name: str, month: str, **values: str | int | None) -> None:
         """One row into a control table: one more in a log, the only one in a state table.
@@ -127,6 +147,11 @@ class MonthStore:
             return whole
         return whole.where(F.col("source_month").isin(*map(check_month, months)))
 
+    def months(self, layer: str, name: str) -> list[str]:
+        """The months a table has partitions of, from the catalog alone."""
+        shown = self.spark.sql(f"SHOW PARTITIONS {self.config.name(layer, name)}").collect()
+        return sorted({row[0].split("/")[0].partition("=")[2] for row in shown})
+
     # -- writes --------------------------------------------------------------------
 
     def replace_month(
@@ -134,10 +159,14 @@ class MonthStore:
     ) -> None:
         """Replace everything the table holds for one month, and nothing else.
 
-        The month is a static partition, so an empty frame empties the month.  ``within``
-        names further partition columns below the month, which are replaced as a whole
-        too.  A row of any other month fails the write, and so does a column whose values
-        the table's type may not hold; see ``conformed``."""
+        An empty frame empties the month.  ``within`` names further partition columns below
+        the month, which are replaced as a whole too.  A row of any other month fails the
+        write, and so does a column whose values the table's type may not hold; see
+        ``conformed``.
+
+        Readers see the old month until all new files are complete.  With ``within`` each
+        partition is pointed at its folder in turn, so between two of them a reader may see
+        one old and one new; the month's status is not SUCCESS then."""
         check_month(month)
         target = self.config.name(layer, name)
         fits = F.col("source_month").eqNullSafe(F.lit(month))
@@ -157,23 +186,92 @@ class MonthStore:
             )
         columns = conformed(frame, self.spark.table(target).schema, target)
         ordered = [c for c in columns if c not in ("source_month", *within)]
+        rows = frame.select(*[columns[name] for name in (*ordered, *within)])
+        if self.config.table_format in POINTED_FORMATS:
+            folder = self.fresh_folder(layer, name, f"source_month={month}")
+            rows.write.format(self.config.table_format).partitionBy(*within).save(folder)
+            self._point(target, month, self._parts(rows, folder, within))
+            return
         partition = ", ".join([f"source_month = '{month}'", *within])
         with self._static_overwrite():
             self.spark.sql(
                 f"INSERT OVERWRITE TABLE {target} PARTITION ({partition}) SELECT * FROM {{rows}}",
-                rows=frame.select(*[columns[name] for name in (*ordered, *within)]),
+                rows=rows,
             )
 
+    def fresh_folder(self, layer: str, name: str, *below: str) -> str:
+        """A folder beside a table's own that nothing was written to before."""
+        database = self.spark.catalog.getDatabase(self.config.name(layer)).locationUri
+        return "/".join([database, f"{name}__parts", *below, uuid.uuid4().hex])
+
+    def _parts(self, rows: DataFrame, folder: str, within: tuple[str, ...]) -> dict[str, str]:
+        """Folders of the partitions that a write made, by what follows the month."""
+        if not within:
+            return {"": folder}
+        reader = self.spark.read.schema(rows.schema).format(self.config.table_format)
+        below = {f.rsplit("/", 1)[0].split(folder.rsplit("/", 1)[1], 1)[1].strip("/")
+                 for f in reader.load(folder).inputFiles()}
+        return {part: f"{folder}/{part}" for part in below}
+
+    def _point(self, target: str, month: str, parts: dict[str, str]) -> None:
+        """Make the catalog read the month from these folders, and from no other."""
+
+        def spec(part: str) -> str:
+            pairs = [p.split("=", 1) for p in [f"source_month={month}", *part.split("/")] if p]
+            return ", ".join(f"`{key}` = '{quoted(unquote(value))}'" for key, value in pairs)
+
+        shown = self.spark.sql(f"SHOW PARTITIONS {target} PARTITION (source_month = '{month}')")
+        held = {row[0].partition("/")[2] for row in shown.collect()}
+        before = {part: self._location(target, spec(part)) for part in held}
+        for part, folder in parts.items():
+            known = f"PARTITION ({spec(part)}) SET LOCATION '{folder}'"
+            new = f"ADD PARTITION ({spec(part)}) LOCATION '{folder}'"
+            self.spark.sql(f"ALTER TABLE {target} {known if part in held else new}")
+        for part in held - set(parts):
+            # Dropping deletes what a partition points at, and old readers may still need that.
+            nothing = f"{self._location(target, spec(part))}-left"
+            self.spark.sql(f"ALTER TABLE {target} PARTITION ({spec(part)}) SET LOCATION '{nothing}'")
+            self.spark.sql(f"ALTER TABLE {target} DROP PARTITION ({spec(part)})")
+        self.retire(f"{target} {month}", before.values())
+
+    def _location(self, target: str, spec: str) -> str:
+        told = self.spark.sql(f"DESCRIBE TABLE EXTENDED {target} PARTITION ({spec})").collect()
+        return next(row.data_type for row in told if row.col_name == "Location")
+
+    def retire(self, owner: str, folders) -> None:
+        """Delete the folders this owner retired before; keep these until the next time, for
+        readers that are under way.
+
+        Dropping a partition of a managed table deletes its folder, wherever it lies."""
+        trash = self.config.name("ops", REPLACED)
+        owner = hashlib.sha256(owner.encode()).hexdigest()
+        old = self.spark.sql(f"SHOW PARTITIONS {trash} PARTITION (owner = '{owner}')").collect()
+        for (shown,) in old:
+            version = shown.rpartition("=")[2]
+            self.spark.sql(
+                f"ALTER TABLE {trash} DROP PARTITION (owner = '{owner}', version = '{version}')"
+            )
+        added = " ".join(
+            f"PARTITION (owner = '{owner}', version = '{uuid.uuid4().hex}') LOCATION '{folder}'"
+            for folder in folders
+        )
+        if added:
+            self.spark.sql(f"ALTER TABLE {trash} ADD {added}")
+
+    _overwriting = threading.RLock()
+
     @contextmanager
     def _static_overwrite(self):
-        """Dynamic mode would keep the old rows of a partition that is now empty."""
+        """Dynamic mode would keep the old rows of a partition that is now empty.  The mode is
+        the session's, so one write at a time may hold it."""
         key = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(key)
-        self.spark.conf.set(key, "static")
-        try:
-            yield
-        finally:
-            self.spark.conf.set(key, before)
+        with self._overwriting:
+            before = self.spark.conf.get(key)
+            self.spark.conf.set(key, "static")
+            try:
+                yield
+            finally:
+                self.spark.conf.set(key, before)
 
     def replace_month_via_staging(
         self, frame: DataFrame, layer: str, name: str, month: str
@@ -207,14 +305,6 @@ class MonthStore:
         self.spark.sql(f"CREATE OR REPLACE VIEW {target} AS {query}")
         return self.spark.table(target)
 
-    def publish(self, name: str, slot: str) -> None:
-        """Point a public gold name at one generation of its table."""
-        view, table = self.config.name("gold", name), self.config.name("gold", f"{name}_{slot}")
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ('slot' = '{slot}') "
-            f"AS SELECT * FROM {table}"
-        )
-
     def append(self, frame: DataFrame, layer: str, name: str) -> None:
         """Add rows to a control table."""
         target = self.config.name(layer, name)
