@@ -4,6 +4,7 @@ Pieces of one length have the same demands, so the bins are planned on the histo
 lengths, whose size is bounded by the capacity and not by the corpus; the pieces
 then take their places by their rank within the length."""
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -67,19 +68,16 @@ def _encode_chunks(chunks: list[str], path: str) -> list[bytes]:
 
 
 def _looked_up(split: list[list[str]], cache: words.Bounded, encode, path: str) -> list[bytes]:
-    """Ids of texts from those of their pieces; pieces not met before are encoded in bulk."""
-    found = [list(map(cache.get, pieces)) for pieces in split]
-    missing = [k for k, ids in enumerate(found) if None in ids]
-    fresh = list(
-        {p for k in missing for p, own in zip(split[k], found[k], strict=True) if own is None}
-    )
-    new = dict(zip(fresh, encode(fresh, path), strict=True))
-    for k in missing:
-        pairs = zip(split[k], found[k], strict=True)
-        found[k] = [new[piece] if own is None else own for piece, own in pairs]
-    for piece, ids in new.items():
+    """Ids of texts from those of their pieces; pieces not met before are encoded in bulk.
+
+    The pieces of one call are few enough to stay near the processor, so each text looks
+    them up there and the large cache is asked once a piece."""
+    known = {piece: cache.get(piece) for piece in set().union(*split)}
+    fresh = [piece for piece, ids in known.items() if ids is None]
+    for piece, ids in zip(fresh, encode(fresh, path), strict=True):
+        known[piece] = ids
         cache.keep(piece, ids)
-    return [b"".join(ids) for ids in found]
+    return [b"".join(map(known.__getitem__, pieces)) for pieces in split]
 
 
 def token_bytes(texts: list[str], path: str) -> list[bytes]:
@@ -111,13 +109,16 @@ def tokenised_pieces(
     capacity: int = Limits.tokens,
     id_col: str = "doc_id",
     text_col: str = "text",
+    digest: bool = False,
 ) -> DataFrame:
     """Each document's ids and the end id, cut at ``capacity``: doc_id, piece, start,
-    length and ids (little-endian unsigned 32-bit numbers as binary).
+    length and ids (little-endian unsigned 32-bit numbers as binary), or with ``digest``
+    their crc32 as ids_crc32, where the ids themselves need not leave the task.
 
     A null text counts as empty and gives one piece of the end id alone; a null identifier
     and repeated rows are kept as they are; extra columns are ignored."""
     end = np.array([END_ID], dtype="<u4").tobytes()
+    last = "ids_crc32" if digest else "ids"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words.working("packing")
@@ -131,21 +132,22 @@ def tokenised_pieces(
                     piece.append(number)
                     start.append(at // 4)
                     length.append(len(part) // 4)
-                    ids.append(part)
+                    ids.append(zlib.crc32(part) if digest else part)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(pa.array(rows, pa.int32())),
                     pa.array(piece, pa.int32()),
                     pa.array(start, pa.int64()),
                     pa.array(length, pa.int64()),
-                    pa.array(ids, pa.binary()),
+                    pa.array(ids, pa.int64() if digest else pa.binary()),
                 ],
-                ["doc_id", "piece", "start", "length", "ids"],
+                ["doc_id", "piece", "start", "length", last],
             )
 
     rows = frames.texts(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, piece int, start bigint, length bigint, ids binary"
+    kind_of_last = "bigint" if digest else "binary"
+    schema = f"doc_id {kind}, piece int, start bigint, length bigint, {last} {kind_of_last}"
     return rows.mapInArrow(run, schema)
 
 

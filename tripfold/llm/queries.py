@@ -111,8 +111,7 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 def packed(docs: DataFrame) -> DataFrame:
     """Pieces of whole documents with their places, without the ids themselves."""
-    pieces = packing.tokenised_pieces(docs, vocabulary(WORD_VOCABULARY))
-    pieces = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    pieces = packing.tokenised_pieces(docs, vocabulary(WORD_VOCABULARY), digest=True)
     return packing.pack(frames.staged(pieces, "pieces"))
 
 
