@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tripfold.config import FeedConfig, Layer, check_run_id
 from tripfold.functions.durations import wall_minutes, wall_seconds
-from tripfold.functions.lookups import fits_broadcast, lookup_bytes
+from tripfold.functions.lookups import fits_broadcast, frequent_keys, lookup_bytes, lookup_join
 from tripfold.functions.months import check_month, is_month, month_contract, month_of, parse_months
 from tripfold.functions.rules import Rule, tag
 
@@ -126,3 +126,47 @@ def test_lookup_size_grows_with_rows_and_text(spark):
     assert lookup_bytes(small) < lookup_bytes(large)
     assert lookup_bytes(small.limit(0)) == 0
     assert fits_broadcast(small) and not fits_broadcast(large, limit=1000)
+
+
+@pytest.mark.parametrize("hot", ["one zone", "no zone", "one row", "two zones"])
+def test_a_hot_key_is_spread_over_all_tasks(spark, hot):
+    """Nine records in ten hold one key; adaptive handling is off, so the plan alone spreads."""
+    number, tasks = 200_000, 8
+    key = {
+        "one zone": "if(id % 10 < 9, 7, id % 5000)",
+        "no zone": "if(id % 10 < 9, null, id % 5000)",
+        "one row": "if(id % 10 < 9, 7, id % 5000)",
+        "two zones": "if(id % 10 < 6, 7, if(id % 10 < 9, 9, id % 5000))",
+    }[hot]
+    value = "if(id % 10 < 9, 0, id)" if hot == "one row" else "id"
+    frame = spark.range(number).selectExpr(f"cast({key} as int) zone", f"{value} v", "'m' month")
+    lookup = spark.range(4000).selectExpr("cast(id as bigint) zone_id", "'m' lookup_month", "id * 2 name")
+    keys = {"month": "lookup_month", "zone": "zone_id"}
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", str(tasks))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lookup_join(frame, lookup, keys, small=False)
+        assert joined.columns == ["zone", "v", "month", "name"]
+        sizes = sorted(
+            r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()
+        )
+        assert len(sizes) == tasks and sum(sizes) == number
+        assert sizes[-1] < 2 * sizes[tasks // 2]
+        plain = lookup_join(frame, lookup, keys, small=True)
+        assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_few_keys_are_frequent(spark):
+    frame = spark.range(10_000).selectExpr("if(id < 5000, -1, id) k")
+    found = frequent_keys(frame, F.col("k"), 4).collect()
+    (one,) = found  # the sketch may count too many, never too few
+    assert one["__frequent"] == -1 and 32 <= one["__copies"] <= 34
+    assert frequent_keys(frame.limit(0), F.col("k"), 4).collect() == []
+    even = spark.range(10_000).selectExpr("id % 1000 k")
+    assert frequent_keys(even, F.col("k"), 8).count() == 0

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripfold.functions.lookups import fits_broadcast, lookup_join
+from tripfold.functions.lookups import ROW, fits_broadcast, lookup_join, numbered
 
 
 # Computed columns of the staging model, in SQL so that a persistent view can use them.
@@ -43,16 +43,15 @@ def fct_trips(stg: DataFrame, dim: DataFrame, small_dim: bool | None = None) ->
     attributes = dim.select("zone_key", "zone_name", "borough")
     if small_dim is None:
         small_dim = fits_broadcast(attributes)
-    fact = stg
+    fact = numbered(stg, small_dim)
     for role in ("pickup", "dropoff"):
         side = attributes.select(
-            F.col("zone_key").alias("dim_key"),
+            "zone_key",
             F.col("zone_name").alias(f"{role}_zone_name"),
             F.col("borough").alias(f"{role}_borough"),
         )
-        match = F.col(f"{role}_zone_key") == F.col("dim_key")
-        fact = lookup_join(fact, side, match, small_dim).drop("dim_key")
-    return fact
+        fact = lookup_join(fact, side, {f"{role}_zone_key": "zone_key"}, small_dim)
+    return fact.drop(ROW)
 
 
 def _recorded(amount: str) -> Column:
@@ -84,8 +83,10 @@ def monthly_parts(fact: DataFrame) -> DataFrame:
     )
 
 
-def mart_monthly_activity(parts: DataFrame) -> DataFrame:
-    """Calendar month of pickup, whichever file the record came in, from monthly parts."""
+def mart_monthly_activity(source: DataFrame) -> DataFrame:
+    """Calendar month of pickup, whichever file the record came in; from the fact, or from
+    monthly parts of it."""
+    parts = source if "trip_count" in source.columns else monthly_parts(source)
     money = ("recorded_fare_amount", "recorded_total_amount")
     return parts.groupBy("pickup_month").agg(
         F.sum("trip_count").alias("trip_count"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripfold.functions.durations import wall_minutes
-from tripfold.functions.lookups import fits_broadcast, lookup_join
+from tripfold.functions.lookups import ROW, fits_broadcast, lookup_join, numbered
 from tripfold.functions.months import month_of
 from tripfold.functions.rules import Rule, tag
 from tripfold.sources.landing import REQUIRED_TRIP_COLUMNS, require_columns
@@ -93,14 +93,11 @@ def validate(
     if small_zones is None:
         small_zones = fits_broadcast(known)
 
+    trips = numbered(trips, small_zones)
     for role in ("pickup", "dropoff"):
-        side = known.select(
-            F.col("source_month").alias("known_month"), F.col("zone_id").alias(f"known_{role}")
-        )
-        match = (F.col("source_month") == F.col("known_month")) & (
-            F.col(f"{role}_zone_id") == F.col(f"known_{role}")
-        )
-        trips = lookup_join(trips, side, match, small_zones).drop("known_month")
+        side = known.withColumn(f"known_{role}", F.col("zone_id"))
+        keys = {"source_month": "source_month", f"{role}_zone_id": "zone_id"}
+        trips = lookup_join(trips, side, keys, small_zones)
 
     return trips.withColumns(
         {
@@ -108,7 +105,7 @@ def validate(
             "quality_warnings": tag(warning_rules(limits)),
             "duration_minutes": wall_minutes(F.col("pickup_at"), F.col("dropoff_at")),
         }
-    ).drop("known_pickup", "known_dropoff")
+    ).drop("known_pickup", "known_dropoff", ROW)
 
 
 def with_outcome(validated: DataFrame) -> DataFrame:
