@@ -1,7 +1,9 @@
 """SQL text, for an independent engine, that each named query must agree with.
 
-The text repeats definitions instead of sharing code with the package.  Arrays are
-compared as text, decimals as doubles, times as text."""
+The text repeats definitions instead of sharing code with the package; only the words of the
+data dictionary are taken from it.  Arrays, decimals and times are compared as text."""
+
+from tripfold.sources.dictionary import FIELDS
 
 TRIPS = """
 trips_base AS (
@@ -42,6 +44,10 @@ months AS (
            'Standard' AS service_zone, source_month
     FROM nation JOIN region ON n_regionkey = r_regionkey CROSS JOIN months
     WHERE n_nationkey <> 24
+), raw_zones AS (
+    SELECT CAST(zone_id AS VARCHAR) AS LocationID, borough AS Borough, zone_name AS Zone,
+           service_zone, source_month
+    FROM zones
 )"""
 
 VALIDATED = """
@@ -70,7 +76,7 @@ normalized AS (
             CASE WHEN total_amount IS NULL OR total_amount < 0 THEN 'unusual_total' END,
             CASE WHEN strftime(pickup_at, '%Y-%m') <> n.source_month
                  THEN 'pickup_outside_source_month' END) AS quality_warnings,
-        CAST(CAST(datesub('second', pickup_at, dropoff_at) / 60.0 AS DECIMAL(27, 6)) AS DOUBLE)
+        CAST(datesub('second', pickup_at, dropoff_at) / 60.0 AS DECIMAL(27, 6))
             AS duration_minutes
     FROM normalized n
     LEFT JOIN zones p ON p.source_month = n.source_month AND p.zone_id = n.pickup_zone_id
@@ -104,22 +110,22 @@ dim AS (
 ), pickup_mart AS (
     SELECT source_month, pickup_zone_id, pickup_zone_name, pickup_hour,
            count(*) AS trip_count,
-           coalesce(sum(fare_amount), 0) AS recorded_fare_amount,
+           CAST(coalesce(sum(fare_amount), 0) AS DECIMAL(28, 2)) AS recorded_fare_amount,
            count(*) FILTER (WHERE has_quality_warning) AS unusual_trip_count
     FROM fact GROUP BY ALL
 ), monthly_mart AS (
     SELECT pickup_month, count(*) AS trip_count,
-           coalesce(sum(fare_amount), 0) AS recorded_fare_amount,
-           coalesce(sum(total_amount), 0) AS recorded_total_amount,
+           CAST(coalesce(sum(fare_amount), 0) AS DECIMAL(28, 2)) AS recorded_fare_amount,
+           CAST(coalesce(sum(total_amount), 0) AS DECIMAL(28, 2)) AS recorded_total_amount,
            count(*) FILTER (WHERE fare_amount IS NULL) AS missing_fare_count,
            count(*) FILTER (WHERE has_quality_warning) AS unusual_trip_count
     FROM fact GROUP BY ALL
 ), route_mart AS (
     SELECT source_month, pickup_zone_id, dropoff_zone_id, pickup_zone_name, dropoff_zone_name,
            count(*) AS trip_count,
-           -- exact mean of the six-place values, half up
-           CAST((2 * sum(CAST(round(duration_minutes * 1000000) AS HUGEINT)) + count(*))
-                // (2 * count(*)) AS DOUBLE) / 1000000 AS average_duration_minutes,
+           -- exact mean of the six-place values to ten places, half up
+           CAST(CAST((20000 * sum(CAST(duration_minutes * 1000000 AS HUGEINT)) + count(*))
+                // (2 * count(*)) AS DECIMAL(38, 0)) AS VARCHAR) AS average_digits,
            quantile_disc(duration_minutes, 0.5) AS median_duration_minutes,
            count(*) FILTER (WHERE has_quality_warning) AS unusual_trip_count
     FROM fact GROUP BY ALL
@@ -159,8 +165,8 @@ bad_status AS (
     SELECT * FROM dim WHERE zone_key <> '1995-04:7'
     UNION ALL SELECT * FROM dim WHERE zone_key = '1995-03:3'
 ), bad_fact AS (
-    SELECT * REPLACE (CASE WHEN duration_minutes = 0 THEN -1 ELSE duration_minutes END
-                      AS duration_minutes)
+    SELECT * REPLACE (CAST(CASE WHEN duration_minutes = 0 THEN -1 ELSE duration_minutes END
+                           AS DECIMAL(27, 6)) AS duration_minutes)
     FROM fact
 ), bad_pickup_mart AS (
     SELECT * REPLACE (recorded_fare_amount + CASE WHEN source_month = '1996-04' THEN 1 ELSE 0 END
@@ -247,7 +253,12 @@ BRONZE_TYPES = {
     "c_mktsegment": "string",
 }
 UNDEFINED = ("l_returnflag", "l_linestatus", "o_orderstatus", "c_mktsegment")
-CATEGORIES = UNDEFINED
+ZONE_TYPES = dict.fromkeys(("LocationID", "Borough", "Zone", "service_zone"), "string")
+SOURCES = [
+    *[("bronze.yellow_trips", "bronze", c, kind) for c, kind in BRONZE_TYPES.items()],
+    *[("bronze.taxi_zones", "raw_zones", c, kind) for c, kind in ZONE_TYPES.items()],
+]
+CATEGORIES = (*UNDEFINED, "Borough", "service_zone")
 
 BRONZE_OUT = """
     CAST(tpep_pickup_datetime AS VARCHAR) AS tpep_pickup_datetime,
@@ -259,9 +270,9 @@ RECORD_OUT = """
     CAST(pickup_at AS VARCHAR) AS pickup_at, CAST(dropoff_at AS VARCHAR) AS dropoff_at,
     CAST(pickup_zone_id AS BIGINT) AS pickup_zone_id,
     CAST(dropoff_zone_id AS BIGINT) AS dropoff_zone_id, trip_distance_miles,
-    CAST(fare_amount AS DOUBLE) AS fare_amount, CAST(total_amount AS DOUBLE) AS total_amount,
+    CAST(fare_amount AS VARCHAR) AS fare_amount, CAST(total_amount AS VARCHAR) AS total_amount,
     source_month, source_filename, rejection_reasons, quality_warnings,
-    CAST(duration_minutes AS DOUBLE) AS duration_minutes"""
+    CAST(duration_minutes AS VARCHAR) AS duration_minutes"""
 STG_OUT = (
     RECORD_OUT
     + """, pickup_zone_key, dropoff_zone_key, CAST(pickup_date AS VARCHAR) AS pickup_date,
@@ -273,14 +284,16 @@ FACT_OUT = (
 DIM_OUT = "zone_key, source_month, CAST(zone_id AS BIGINT) AS zone_id, borough, zone_name, " \
           "service_zone"
 MONTHLY_OUT = """
-    pickup_month, trip_count, CAST(recorded_fare_amount AS DOUBLE) AS recorded_fare_amount,
-    CAST(recorded_total_amount AS DOUBLE) AS recorded_total_amount,
+    pickup_month, trip_count, CAST(recorded_fare_amount AS VARCHAR) AS recorded_fare_amount,
+    CAST(recorded_total_amount AS VARCHAR) AS recorded_total_amount,
     missing_fare_count, unusual_trip_count"""
 ROUTE_OUT = """
     source_month, CAST(pickup_zone_id AS BIGINT) AS pickup_zone_id,
     CAST(dropoff_zone_id AS BIGINT) AS dropoff_zone_id, pickup_zone_name, dropoff_zone_name,
-    trip_count, average_duration_minutes,
-    median_duration_minutes, unusual_trip_count"""
+    trip_count,
+    coalesce(nullif(left(lpad(average_digits, CAST(greatest(11, length(average_digits)) AS INTEGER), '0'), -10), ''), '0')
+        || '.' || right(lpad(average_digits, CAST(greatest(11, length(average_digits)) AS INTEGER), '0'), 10) AS average_duration_minutes,
+    CAST(median_duration_minutes AS VARCHAR) AS median_duration_minutes, unusual_trip_count"""
 
 
 def _breakdown(source: str, codes: str, code: str, count: str) -> str:
@@ -291,7 +304,7 @@ def _breakdown(source: str, codes: str, code: str, count: str) -> str:
         GROUP BY ALL"""
 
 
-def _profile(column: str, kind: str) -> str:
+def _profile(table: str, source: str, column: str, kind: str) -> str:
     missing = f"{column} IS NULL"
     quartiles = "NULL"
     if kind == "string":
@@ -304,13 +317,13 @@ def _profile(column: str, kind: str) -> str:
             f"FILTER (WHERE NOT ({missing})) AS VARCHAR[]), '|')"
         )
     return f"""
-        SELECT source_month, '{column}' AS column_name, '{kind}' AS data_type,
-               count(*) AS total, count(*) FILTER (WHERE {missing}) AS missing,
+        SELECT '{table}' AS table_name, source_month, '{column}' AS column_name,
+               '{kind}' AS data_type, count(*) AS total, count(*) FILTER (WHERE {missing}) AS missing,
                100 * (count(*) FILTER (WHERE {missing})) / count(*) AS missing_pct,
                CAST(min({column}) AS VARCHAR) AS min_value,
                CAST(max({column}) AS VARCHAR) AS max_value,
                CAST({quartiles} AS VARCHAR) AS quartiles
-        FROM bronze GROUP BY source_month"""
+        FROM {source} GROUP BY source_month"""
 
 
 def _conformance(column: str, inside: str) -> str:
@@ -322,39 +335,139 @@ def _conformance(column: str, inside: str) -> str:
         FROM bronze GROUP BY source_month"""
 
 
-def _dictionary(column: str, kind: str) -> str:
-    populated = "count(*)" if column in ("ingested_at", "ingestion_run_id") else f"count({column})"
-    defined = "false" if column in UNDEFINED else "true"
-    return f"""
-        SELECT 'bronze.yellow_trips' AS table_name, '{column}' AS column_name,
-               '{kind}' AS data_type, {populated} AS populated, {defined} AS is_defined
-        FROM bronze"""
+MONTHS = {"source_month": "string"}
+FILES = {**MONTHS, "source_filename": "string"}
+INGESTED = {"ingested_at": "timestamp", "ingestion_run_id": "string"}
+RECORD_TYPES = {
+    "pickup_at": "timestamp_ntz",
+    "dropoff_at": "timestamp_ntz",
+    "pickup_zone_id": "int",
+    "dropoff_zone_id": "int",
+    "trip_distance_miles": "double",
+    "fare_amount": "decimal(18,2)",
+    "total_amount": "decimal(18,2)",
+    **FILES,
+    **INGESTED,
+    "rejection_reasons": "array<string>",
+    "quality_warnings": "array<string>",
+    "duration_minutes": "decimal(27,6)",
+    "preparation_run_id": "string",
+}
+LOOKUP_TYPES = {"zone_id": "int", **dict.fromkeys(("borough", "zone_name", "service_zone"), "string")}
+FACT_TYPES = {
+    **RECORD_TYPES,
+    "pickup_zone_key": "string",
+    "dropoff_zone_key": "string",
+    "pickup_date": "date",
+    "pickup_month": "string",
+    "pickup_hour": "int",
+    "has_quality_warning": "boolean",
+    **dict.fromkeys(
+        ("pickup_zone_name", "pickup_borough", "dropoff_zone_name", "dropoff_borough"), "string"
+    ),
+}
+DICTIONARY_TABLES = {
+    "bronze.yellow_trips": ("bronze", {**BRONZE_TYPES, **FILES, **INGESTED}),
+    "bronze.taxi_zones": ("raw_zones", {**ZONE_TYPES, **MONTHS}),
+    "silver.trips": ("trips", RECORD_TYPES),
+    "silver.rejected_trips": ("rejected", RECORD_TYPES),
+    "silver.taxi_zones": ("zones", {**LOOKUP_TYPES, **MONTHS}),
+    "gold.dim_zones": ("dim", {"zone_key": "string", **MONTHS, **LOOKUP_TYPES}),
+    "gold.fct_trips": ("fact", FACT_TYPES),
+    "gold.mart_pickup_activity": (
+        "pickup_mart",
+        {
+            **MONTHS,
+            "pickup_zone_id": "int",
+            "pickup_zone_name": "string",
+            "pickup_hour": "int",
+            "trip_count": "bigint",
+            "recorded_fare_amount": "decimal(28,2)",
+            "unusual_trip_count": "bigint",
+        },
+    ),
+    "gold.mart_monthly_activity": (
+        "monthly_mart",
+        {
+            "pickup_month": "string",
+            "trip_count": "bigint",
+            "recorded_fare_amount": "decimal(28,2)",
+            "recorded_total_amount": "decimal(28,2)",
+            "missing_fare_count": "bigint",
+            "unusual_trip_count": "bigint",
+        },
+    ),
+    "gold.mart_route_duration": (
+        "route_mart",
+        {
+            **MONTHS,
+            "pickup_zone_id": "int",
+            "dropoff_zone_id": "int",
+            "pickup_zone_name": "string",
+            "dropoff_zone_name": "string",
+            "trip_count": "bigint",
+            "average_duration_minutes": "decimal(31,10)",
+            "median_duration_minutes": "decimal(27,6)",
+            "unusual_trip_count": "bigint",
+        },
+    ),
+    "ops.month_status": (
+        "status",
+        {
+            **MONTHS,
+            "run_id": "string",
+            "status": "string",
+            **dict.fromkeys(
+                ("input_count", "accepted_count", "rejected_count", "unusual_count"), "bigint"
+            ),
+        },
+    ),
+}
+ALWAYS_FILLED = {*INGESTED, "preparation_run_id", "average_duration_minutes"}
+WORDS = {}
+for _field, _entry in FIELDS.items():
+    WORDS.setdefault(_field.casefold(), _entry)
+
+
+def _dictionary(table: str, source: str, columns: dict[str, str]) -> str:
+    """All fills of a table in one row, turned into a row a column."""
+    rows = []
+    for column, kind in columns.items():
+        fill = "count(*)" if column in ALWAYS_FILLED else f"count({column})"
+        entry = WORDS.get(column.casefold())
+        told = [
+            "CAST(NULL AS VARCHAR)" if entry is None else "'" + text.replace("'", "''") + "'"
+            for text in entry or (None,) * 3
+        ]
+        rows.append(
+            f"{{'column_name': '{column}', 'data_type': '{kind}', 'populated': {fill}, "
+            f"'description': {told[0]}, 'domain': {told[1]}, 'lineage': {told[2]}, "
+            f"'is_defined': {str(entry is not None).lower()}}}"
+        )
+    return (
+        f"SELECT '{table}' AS table_name, unnest(rows, recursive := true) "
+        f"FROM (SELECT [{', '.join(rows)}] AS rows FROM {source})"
+    )
 
 
 DICTIONARY = " UNION ALL ".join(
-    _dictionary(column, kind)
-    for column, kind in {
-        **BRONZE_TYPES,
-        "source_month": "string",
-        "source_filename": "string",
-        "ingested_at": "timestamp",
-        "ingestion_run_id": "string",
-    }.items()
+    _dictionary(table, *about) for table, about in DICTIONARY_TABLES.items()
 )
 
 
 def _snapshot(table: str, source: str, amounts: bool, fare: str = "fare_amount") -> str:
     if amounts:
         metrics = f"""
-            CAST(coalesce(sum(CAST({fare} AS DECIMAL(18, 2))), 0) AS DOUBLE) AS sum_fare_amount,
+            CAST(coalesce(sum(CAST({fare} AS DECIMAL(18, 2))), CAST(0 AS DECIMAL(28, 2))) AS VARCHAR)
+                AS sum_fare_amount,
             CAST(count({fare}) AS BIGINT) AS populated_fare_amount,
-            CAST(coalesce(sum(CAST(total_amount AS DECIMAL(18, 2))), 0) AS DOUBLE)
-                AS sum_total_amount,
+            CAST(coalesce(sum(CAST(total_amount AS DECIMAL(18, 2))), CAST(0 AS DECIMAL(28, 2)))
+                AS VARCHAR) AS sum_total_amount,
             CAST(count(total_amount) AS BIGINT) AS populated_total_amount"""
     else:
         metrics = """
-            CAST(NULL AS DOUBLE) AS sum_fare_amount, CAST(NULL AS BIGINT) AS populated_fare_amount,
-            CAST(NULL AS DOUBLE) AS sum_total_amount,
+            CAST(NULL AS VARCHAR) AS sum_fare_amount, CAST(NULL AS BIGINT) AS populated_fare_amount,
+            CAST(NULL AS VARCHAR) AS sum_total_amount,
             CAST(NULL AS BIGINT) AS populated_total_amount"""
     return f"""
         SELECT '{table}' AS table_name, source_month, count(*) AS row_count, {metrics}
@@ -391,6 +504,8 @@ REPLAYED = " UNION ALL ".join(
 
 REPEATED = """SELECT * FROM bronze
     UNION ALL SELECT * FROM bronze WHERE PULocationID = DOLocationID"""
+REPEATED_ZONES = """SELECT * FROM raw_zones
+    UNION ALL SELECT * FROM raw_zones WHERE Borough = 'ASIA'"""
 SOURCE_OUT = ", ".join(
     f"CAST({c} AS {'BIGINT' if kind == 'int' else 'VARCHAR'}) AS {c}"
     if kind in ("int", "timestamp_ntz")
@@ -414,7 +529,7 @@ SELECTS = {
     "mart_pickup_activity": """
         SELECT source_month, CAST(pickup_zone_id AS BIGINT) AS pickup_zone_id, pickup_zone_name,
                CAST(pickup_hour AS BIGINT) AS pickup_hour, trip_count,
-               CAST(recorded_fare_amount AS DOUBLE) AS recorded_fare_amount, unusual_trip_count
+               CAST(recorded_fare_amount AS VARCHAR) AS recorded_fare_amount, unusual_trip_count
         FROM pickup_mart""",
     "mart_monthly_activity": f"SELECT {MONTHLY_OUT} FROM monthly_mart",
     "mart_route_duration": f"SELECT {ROUTE_OUT} FROM route_mart",
@@ -431,7 +546,7 @@ SELECTS = {
         ORDER BY pickup_month""",
     "slow_routes": f"""
         SELECT {ROUTE_OUT} FROM route_mart WHERE trip_count >= 5
-        ORDER BY median_duration_minutes DESC, source_month, pickup_zone_id, dropoff_zone_id,
+        ORDER BY route_mart.median_duration_minutes DESC, source_month, pickup_zone_id, dropoff_zone_id,
                  pickup_zone_name, dropoff_zone_name LIMIT 20""",
     "rejection_breakdown":
         _breakdown("rejected", "rejection_reasons", "reason", "rejected_records_with_reason"),
@@ -452,6 +567,26 @@ SELECTS = {
                      count(*) AS copies
               FROM bad_dim GROUP BY ALL)
         WHERE zone_id IS NULL OR copies > 1""",
+    "zone_contract_raw": """
+        WITH lines AS (
+            SELECT source_month,
+                   CASE WHEN source_month = '1994-03' THEN 'zone ' || LocationID
+                        WHEN source_month = '1994-04' AND LocationID < '2' THEN NULL
+                        ELSE LocationID END AS id
+            FROM raw_zones WHERE source_month <> '1994-02'
+            UNION ALL
+            SELECT source_month, '0' || LocationID FROM raw_zones
+            WHERE source_month = '1994-05' AND length(LocationID) = 1)
+        SELECT source_month, zone_id, copies,
+               CASE WHEN zone_id IS NOT NULL THEN 'repeated_id'
+                    WHEN written > 0 THEN 'uncastable_id' ELSE 'missing_id' END AS violation
+        FROM (SELECT source_month, CAST(try_cast(id AS INTEGER) AS BIGINT) AS zone_id,
+                     count(*) AS copies, count(id) AS written
+              FROM lines GROUP BY source_month, CAST(try_cast(id AS INTEGER) AS BIGINT))
+        WHERE zone_id IS NULL OR copies > 1
+        UNION ALL
+        SELECT DISTINCT source_month, CAST(NULL AS BIGINT), 0, 'empty_month' FROM raw_zones
+        WHERE source_month NOT IN (SELECT source_month FROM lines)""",
     "readiness_violations": """
         SELECT source_month, 'not_success' AS violation FROM bad_status
         WHERE status <> 'SUCCESS' OR status IS NULL
@@ -468,7 +603,8 @@ SELECTS = {
     "check_gold_generation": "SELECT * FROM gold_generation_matches",
     "check_valid_journeys": f"SELECT {RECORD_OUT} FROM valid_journeys",
     "check_totals": """
-        SELECT model, CAST(trips AS BIGINT) AS trips, CAST(fares AS DOUBLE) AS fares
+        SELECT model, CAST(trips AS BIGINT) AS trips,
+               CAST(CAST(fares AS DECIMAL(38, 2)) AS VARCHAR) AS fares
         FROM aggregate_totals_reconcile""",
     "check_report": " UNION ALL ".join(
         f"SELECT '{name}' AS check_name, count(*) AS violations FROM {name}"
@@ -483,27 +619,40 @@ SELECTS = {
         ]
     ),
     "dictionary_report": DICTIONARY,
-    "dictionary_gaps":
-        f"SELECT * EXCLUDE (is_defined) FROM ({DICTIONARY}) WHERE NOT is_defined",
-    "column_profile": " UNION ALL ".join(_profile(c, kind) for c, kind in BRONZE_TYPES.items()),
+    "dictionary_gaps": " UNION ALL ".join(
+        f"SELECT 'bronze.yellow_trips' AS table_name, '{c}' AS column_name, 'string' AS data_type"
+        for c in UNDEFINED
+    ),
+    "column_profile": " UNION ALL ".join(_profile(*about) for about in SOURCES),
     "column_profile_distinct": " UNION ALL ".join(
-        f"SELECT source_month, '{c}' AS column_name, count(DISTINCT {c}) AS distinct_exact, "
-        "TRUE AS sketch_is_near FROM bronze GROUP BY source_month"
-        for c in BRONZE_TYPES
+        f"SELECT '{table}' AS table_name, source_month, '{c}' AS column_name, "
+        f"count(DISTINCT {c}) AS distinct_exact, "
+        f"TRUE AS sketch_is_near FROM {source} GROUP BY source_month"
+        for table, source, c, _ in SOURCES
     ),
     "duplicate_groups": f"""
         SELECT {SOURCE_OUT}, source_month, count(*) AS copies
         FROM ({REPEATED}) GROUP BY ALL HAVING count(*) > 1""",
-    "duplicate_excess": f"""
-        SELECT source_month, count(*) AS identical_groups,
+    "duplicate_zones": f"""
+        SELECT {', '.join(ZONE_TYPES)}, source_month, count(*) AS copies
+        FROM ({REPEATED_ZONES}) GROUP BY ALL HAVING count(*) > 1""",
+    "duplicate_excess": " UNION ALL ".join(
+        f"""
+        SELECT '{table}' AS table_name, source_month, count(*) AS identical_groups,
                CAST(sum(copies - 1) AS BIGINT) AS excess_identical_rows
-        FROM (SELECT source_month, count(*) AS copies FROM ({REPEATED})
-              GROUP BY source_month, {', '.join(BRONZE_TYPES)} HAVING count(*) > 1)
-        GROUP BY source_month""",
+        FROM (SELECT source_month, count(*) AS copies FROM ({source})
+              GROUP BY source_month, {', '.join(columns)} HAVING count(*) > 1)
+        GROUP BY source_month"""
+        for table, source, columns in (
+            ("bronze.yellow_trips", REPEATED, BRONZE_TYPES),
+            ("bronze.taxi_zones", REPEATED_ZONES, ZONE_TYPES),
+        )
+    ),
     "category_counts": " UNION ALL ".join(
-        f"SELECT source_month, '{c}' AS column_name, {c} AS value, count(*) AS row_count "
-        "FROM bronze GROUP BY ALL"
-        for c in CATEGORIES
+        f"SELECT '{table}' AS table_name, source_month, '{c}' AS column_name, {c} AS value, "
+        f"count(*) AS row_count FROM {source} GROUP BY ALL"
+        for table, source, c, _ in SOURCES
+        if c in CATEGORIES
     ),
     "month_status": "SELECT * FROM status",
     "status_pct": """
@@ -513,10 +662,10 @@ SELECTS = {
     "status_reconciled": """
         SELECT *, input_count = accepted_count + rejected_count AS reconciled FROM bad_status""",
     "sensitivity": """
-        SELECT source_month, count(*) AS accepted, CAST(sum(fare_amount) AS DOUBLE) AS fare_all,
+        SELECT source_month, count(*) AS accepted, CAST(sum(fare_amount) AS VARCHAR) AS fare_all,
                CAST(sum(CASE WHEN NOT list_contains(string_split(quality_warnings, '|'),
                                                     'unusual_fare') THEN fare_amount END)
-                    AS DOUBLE) AS fare_without_fare_warning,
+                    AS VARCHAR) AS fare_without_fare_warning,
                count(*) FILTER (WHERE duration_minutes = 0) AS zero_duration,
                count(*) FILTER (WHERE duration_minutes > 180) AS over_180_minutes,
                array_to_string(
@@ -544,8 +693,16 @@ SELECTS = {
         WHERE a IS DISTINCT FROM b""",
 }
 
+# The gates hold on sound tables, so the answers behind them are the plain ones.
+SELECTS["gated_zone_hours"] = SELECTS["top_zone_hours"]
+SELECTS["gated_routes"] = SELECTS["slow_routes"]
+
 
 def statements() -> dict[str, str]:
     """Each statement carries every definition; the engine drops those it does not use."""
     definitions = ", ".join([TRIPS, ZONES, VALIDATED, GOLD, COUNTS, FAULTS, CHECKS])
-    return {name: f"WITH {definitions} {select}" for name, select in SELECTS.items()}
+    return {
+        name: f"WITH {definitions} SELECT * FROM ({select})" if "WITH" in select
+        else f"WITH {definitions} {select}"
+        for name, select in SELECTS.items()
+    }

@@ -208,8 +208,11 @@ def test_dictionary(spark):
     assert len(report) == len(frame.columns)
     assert report["pulocationid"].is_defined  # names match without regard to case
     assert report["tpep_dropoff_datetime"].populated == 8
-    (gap,) = contracts.dictionary_gaps(frame, "bronze.yellow_trips").collect()
-    assert (gap.column_name, gap.populated) == ("surprise", 0)
+    (gap,) = contracts.dictionary_gaps({"bronze.yellow_trips": frame}).collect()
+    assert tuple(gap) == ("bronze.yellow_trips", "surprise", "int")
+    two = contracts.dictionary({"a": frame, "b": zone_frame(spark)}).collect()
+    assert {(r.table_name, r.is_defined) for r in two} == {("a", True), ("a", False), ("b", True)}
+    assert all(r.description and r.domain and r.lineage for r in two if r.is_defined)
     assert undefined_columns(frame) == ["surprise"]
     assert with_comments(frame).columns == frame.columns
     assert len(TABLES) == 16 and all(len(entry) == 3 for entry in FIELDS.values())
@@ -258,6 +261,18 @@ def test_duplicates_group_nulls_nans_and_zeros(spark):
     groups = profile.duplicate_groups(frame)
     assert sorted(r.copies for r in groups.collect()) == [2, 3]
     assert [tuple(r) for r in profile.duplicate_excess(groups).collect()] == [("m", 2, 3)]
+    assert [tuple(r) for r in profile.duplicate_counts(frame).collect()] == [("m", 2, 3)]
+
+
+def test_rows_that_differ_in_what_is_null_are_no_duplicates(spark):
+    frame = spark.createDataFrame(
+        [("m", None, "a"), ("m", "a", None), ("m", None, None), ("m", None, "a")],
+        "source_month string, x string, y string",
+    )
+    assert [tuple(r) for r in profile.duplicate_counts(frame).collect()] == [("m", 1, 1)]
+    assert profile.duplicate_counts(frame.limit(0)).collect() == []
+    both = profile.of_tables({"p": frame, "q": frame.drop("y")}, profile.duplicate_counts)
+    assert {tuple(r) for r in both.collect()} == {("p", "m", 1, 1), ("q", "m", 1, 2)}
 
 
 def test_duplicates_ignore_provenance(spark):
@@ -298,6 +313,35 @@ def test_snapshot_diff_kinds(spark):
     assert changes == {("a", "changed"), ("zones", "removed"), ("b", "added")}
 
 
+def test_validated_records_give_both_tables_in_one_aggregate(spark):
+    validated = validate(raw_frame(spark, MIXED), zone_frame(spark))
+    once = snapshot.snapshot_metrics({}, validated)
+    apart = snapshot.snapshot_metrics(
+        {"silver.trips": accepted(validated), "silver.rejected_trips": rejected(validated)}
+    )
+    assert snapshot.snapshot_diff(once, apart).isEmpty() and once.count() == 2
+
+
+def test_raw_zone_contract(spark):
+    lines = [("a", "1"), ("a", "01"), ("a", "2"), ("b", None), ("b", "x"), ("c", " "), ("z", "x")]
+    raw = spark.createDataFrame(lines, "source_month string, LocationID string")
+    asked = spark.createDataFrame([(m,) for m in "abcd"], "source_month string")
+    found = contracts.raw_zone_violations(raw, asked).collect()
+    assert {tuple(r) for r in found} == {
+        ("a", 1, 2, "repeated_id"),
+        ("b", None, 2, "uncastable_id"),
+        ("c", None, 1, "uncastable_id"),
+        ("d", None, 0, "empty_month"),
+    }
+
+
+def test_gates_stop_an_answer(spark):
+    answer, none = spark.range(3), spark.range(0)
+    assert answers.gated(answer, {"a": none, "b": none}).count() == 3
+    with pytest.raises(Exception, match="answers are blocked by b, c"):
+        answers.gated(answer, {"a": none, "c": spark.range(2), "b": answer}).collect()
+
+
 # -- landing -----------------------------------------------------------------------
 
 
@@ -330,6 +374,14 @@ def test_landing_audit(spark, tmp_path):
         ("2026-06", "taxi_zone_lookup.csv", "missing_file"),
     }
     assert sum(r.violation is None for r in audit) == 7
+    listed = landing.landing_audit(spark, str(tmp_path), months, ends=False)
+    assert {r.violation for r in listed.collect()} == {
+        None, "empty_file", "unexpected_name", "missing_file",
+    }
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan  # no file is opened
+    nothing = landing.landing_audit(spark, str(tmp_path), ["2031-01"]).collect()
+    assert [r.violation for r in nothing] == ["missing_file"] * 2
 
 
 def test_file_names(spark):

@@ -9,7 +9,16 @@ import pytest
 import __spark_entry__ as entry_points
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem")
+TABLES = (
+    "region",
+    "nation",
+    "customer",
+    "supplier",
+    "orders",
+    "lineitem",
+    "documents",
+    "embeddings",
+)
 SQL = entry_points.oracle_sql()
 QUERIES = entry_points.queries()
 

@@ -1,9 +1,32 @@
 """Questions answered from the marts and the silver tables."""
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def gated(answer: DataFrame, gates: Mapping[str, DataFrame]) -> DataFrame:
+    """The answer, if none of the gates has a row; else its plan fails and names those that do.
+
+    The gates are part of the answer's plan, so they judge the very tables it reads."""
+    counts = [
+        frame.agg(F.count("*").alias("violations")).select(F.lit(name).alias("gate"), "violations")
+        for name, frame in gates.items()
+    ]
+    broken = (
+        reduce(DataFrame.unionByName, counts)
+        .where(F.col("violations") > 0)
+        .agg(F.array_sort(F.collect_list("gate")).alias("__broken"))  # a name for each gate
+    )
+    blocked = F.concat(F.lit("answers are blocked by "), F.array_join("__broken", ", "))
+    is_open = F.when(F.size("__broken") == 0, True).otherwise(
+        F.raise_error(blocked).cast("boolean")
+    )
+    return answer.crossJoin(F.broadcast(broken)).where(is_open).drop("__broken")
+
+
 def top_zone_hours(pickup_mart: DataFrame, n: int = 20) -> DataFrame:
     """Zone-hours with the most accepted records over all months; ties go by key."""
     keys = ("pickup_zone_id", "pickup_zone_name", "pickup_hour")

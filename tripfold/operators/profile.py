@@ -1,6 +1,7 @@
 """Column profiles, exact duplicates and category frequencies."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,17 @@ QUARTILES = [0.25, 0.5, 0.75]
 ACCURACY = 10000
 
 
+def of_tables(
+    tables: Mapping[str, DataFrame], measure: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """The same measure of several tables under ``table_name``, each scanned once."""
+    named = [
+        measure(frame).select(F.lit(name).alias("table_name"), "*")
+        for name, frame in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, named)
+
+
 def source_columns(frame: DataFrame) -> list[str]:
     """Columns that came with the source, not from ingestion."""
     return [name for name in frame.columns if name not in PROVENANCE]
@@ -81,25 +93,36 @@ def duplicate_groups(
 ) -> DataFrame:
     """Groups of rows equal in all given columns; NULLs and NaNs equal themselves.
 
-    Hashes are counted first, so of the rows themselves only those whose hash repeats are
-    grouped.  Copies collapse map-side, so even a very large group reaches its reducer as
-    one row per task."""
+    Copies collapse map-side, so even a very large group reaches its reducer as one row per
+    task.  Every distinct row is shuffled; ``duplicate_counts`` needs no row at all."""
     columns = source_columns(frame) if columns is None else columns
-    hashed = frame.select(by, *columns, F.xxhash64(by, *columns).alias("__hash"))
-    repeated = (
-        hashed.groupBy("__hash")
-        .agg(F.count("*").alias("__copies"))
-        .where(F.col("__copies") > 1)
-        .select("__hash")
-    )
     return (
-        hashed.join(repeated, "__hash", "left_semi")
-        .groupBy(by, *columns)
+        frame.groupBy(by, *columns)
         .agg(F.count("*").alias("copies"))
         .where(F.col("copies") > 1)
     )
 
 
+def duplicate_counts(
+    frame: DataFrame, by: str = "source_month", columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Number of duplicate groups and of rows beyond the first of each, in one read.
+
+    Rows are told apart by two 64-bit hashes of their values and of which are NULL, as a
+    hash alone passes over NULLs; of 10^12 different rows two share both with a chance of
+    about 10^-15.  Only hashes are shuffled, after copies have collapsed map-side."""
+    columns = source_columns(frame) if columns is None else columns
+    values = [F.col(f"`{name}`") for name in columns]
+    absent = [value.isNull() for value in values]
+    hashed = frame.select(
+        by,
+        F.xxhash64(*values, *absent).alias("__one"),
+        F.xxhash64(F.lit("other"), *absent, *values).alias("__other"),
+    )
+    groups = hashed.groupBy(by, "__one", "__other").agg(F.count("*").alias("copies"))
+    return duplicate_excess(groups.where(F.col("copies") > 1), by)
+
+
 def duplicate_excess(groups: DataFrame, by: str = "source_month") -> DataFrame:
     """Number of duplicate groups and of rows beyond the first of each."""
     return groups.groupBy(by).agg(

@@ -1,7 +1,8 @@
 """Named queries over the order tables, read as a monthly journey feed.
 
 Each query works on whole tables.  ``comparable`` turns the types that engines print
-differently into plain ones; the operators themselves return their own types."""
+differently into plain ones, decimals into text with all their digits; the operators
+themselves return their own types."""
 
 from functools import cached_property
 
@@ -25,7 +26,14 @@ RUN_ID = "run-1"
 OTHER_RUN_ID = "run-0"
 FIRST_MONTH, LAST_MONTH = "1995-01", "1995-12"
 MIN_ROUTE_TRIPS = 5
-CATEGORIES = ("l_returnflag", "l_linestatus", "o_orderstatus", "c_mktsegment")
+CATEGORIES = (
+    "l_returnflag",
+    "l_linestatus",
+    "o_orderstatus",
+    "c_mktsegment",
+    "Borough",
+    "service_zone",
+)
 #: A sketch with a relative deviation of 0.05 is all but always within this share.
 SKETCH_ERROR = 0.25
 REQUESTED_MONTHS = ("1995-01", "1996-02", "2031-01")
@@ -40,6 +48,10 @@ BLANKED_MONTH = "1996-06"
 SHIFTED_MONTH = "1996-04"
 REPEATED_ZONE = "1995-03:3"
 MISSING_ZONE = "1995-04:7"
+ZONELESS_MONTH = "1994-02"
+ODD_MONTH = "1994-03"
+BLANK_MONTH = "1994-04"
+TWICE_MONTH = "1994-05"
 
 
 def comparable(frame: DataFrame) -> DataFrame:
@@ -47,14 +59,16 @@ def comparable(frame: DataFrame) -> DataFrame:
     for field in frame.schema.fields:
         column, kind = F.col(field.name), field.dataType
         if isinstance(kind, DecimalType):
-            column = F.round(column.cast("double"), 6)
+            column = column.cast("string")  # scale and all
         elif isinstance(kind, IntegerType):
             column = column.cast("bigint")
         elif isinstance(kind, (TimestampNTZType, DateType)):
             column = column.cast("string")
         elif isinstance(kind, ArrayType):
             if isinstance(kind.elementType, DecimalType):
-                column = column.cast("array<double>")
+                # Percentiles come without trailing zeros; a wider type has them again.
+                digits, scale = kind.elementType.precision, kind.elementType.scale
+                column = column.cast(f"array<decimal({digits + 1},{scale})>")
             column = F.array_join(column.cast("array<string>"), "|")
         columns.append(column.alias(field.name))
     return frame.select(*columns)
@@ -74,6 +88,10 @@ class Feed:
     def zones(self) -> DataFrame:
         return orders_feed.places(self.spark, self.folder)
 
+    @cached_property
+    def raw_zones(self) -> DataFrame:
+        return orders_feed.raw_places(self.spark, self.folder)
+
     @cached_property
     def small_zones(self) -> bool:
         return fits_broadcast(self.zones)
@@ -133,15 +151,31 @@ class Feed:
         return models.mart_route_duration(self.fact)
 
     @cached_property
-    def silver(self) -> dict[str, DataFrame]:
+    def lookups(self) -> dict[str, DataFrame]:
         return {
             "bronze.yellow_trips": self.bronze,
             "bronze.taxi_zones": self.zones,
-            "silver.trips": self.trips,
-            "silver.rejected_trips": self.rejected,
             "silver.taxi_zones": self.zones,
         }
 
+    @cached_property
+    def sources(self) -> dict[str, DataFrame]:
+        return {"bronze.yellow_trips": self.bronze, "bronze.taxi_zones": self.raw_zones}
+
+    @cached_property
+    def tables(self) -> checks.Tables:
+        return checks.Tables(
+            bronze=self.bronze,
+            trips=self.trips,
+            rejected=self.rejected,
+            status=self.status,
+            dim=self.dim,
+            fact=self.fact,
+            pickup_mart=self.pickup_mart,
+            monthly_mart=self.monthly_mart,
+            route_mart=self.route_mart,
+        )
+
 
 class FaultyFeed(Feed):
     """The same feed with one known fault for every check to find."""
@@ -207,7 +241,7 @@ class FaultyFeed(Feed):
         )
 
 
-class StagedFaultyFeed(FaultyFeed):
+class Staged:
     """For reports that read the validated records in many branches: written out once."""
 
     @cached_property
@@ -215,6 +249,14 @@ class StagedFaultyFeed(FaultyFeed):
         return stage(super().validated, "validated")
 
 
+class StagedFeed(Staged, Feed):
+    pass
+
+
+class StagedFaultyFeed(Staged, FaultyFeed):
+    pass
+
+
 RECORD_COLUMNS = (
     "pickup_at",
     "dropoff_at",
@@ -329,6 +371,35 @@ def zone_contract(f: FaultyFeed) -> DataFrame:
     return contracts.zone_violations(broken)
 
 
+def zone_contract_raw(f: Feed) -> DataFrame:
+    """The lookup as text with a month without lines, ids that are none, and repeated ones."""
+    month, text = F.col("source_month"), F.col("LocationID")
+    lines = f.raw_zones.where(month != ZONELESS_MONTH).withColumn(
+        "LocationID",
+        F.when(month == ODD_MONTH, F.concat(F.lit("zone "), text))
+        .when((month == BLANK_MONTH) & (text < "2"), F.lit(None))
+        .otherwise(text),
+    )
+    again = lines.where((month == TWICE_MONTH) & (F.length("LocationID") == 1)).withColumn(
+        "LocationID", F.concat(F.lit("0"), text)
+    )
+    requested = f.raw_zones.select("source_month").distinct()
+    return contracts.raw_zone_violations(lines.unionByName(again), requested)
+
+
+def _gated(f: Feed, answer: DataFrame) -> DataFrame:
+    names = ("months_are_ready", "gold_generation_matches", "aggregate_totals_reconcile")
+    return answers.gated(answer, {name: checks.CHECKS[name](f.tables) for name in names})
+
+
+def gated_zone_hours(f: Feed) -> DataFrame:
+    return _gated(f, answers.top_zone_hours(f.pickup_mart))
+
+
+def gated_routes(f: Feed) -> DataFrame:
+    return _gated(f, answers.slow_routes(f.route_mart, MIN_ROUTE_TRIPS))
+
+
 def month_texts(f: Feed) -> DataFrame:
     """Month texts as orders might carry them, some of them no month at all."""
     texts = orders_feed.read_table(f.spark, f.folder, "orders").select(
@@ -396,29 +467,43 @@ def domain_conformance(f: Feed) -> DataFrame:
 
 
 def dictionary_report(f: Feed) -> DataFrame:
-    return contracts.dictionary_report(f.bronze, "bronze.yellow_trips").select(
-        "table_name", "column_name", "data_type", "populated", "is_defined"
-    )
+    """Every column of every layer with its type, fill and definition."""
+    tables = {
+        **f.sources,
+        "silver.trips": f.trips,
+        "silver.rejected_trips": f.rejected,
+        "silver.taxi_zones": f.zones,
+        "gold.dim_zones": f.dim,
+        "gold.fct_trips": f.fact,
+        "gold.mart_pickup_activity": f.pickup_mart,
+        "gold.mart_monthly_activity": f.monthly_mart,
+        "gold.mart_route_duration": f.route_mart,
+        "ops.month_status": f.status,
+    }
+    return contracts.dictionary(tables).drop("nullable")
 
 
 def dictionary_gaps(f: Feed) -> DataFrame:
-    return contracts.dictionary_gaps(f.bronze, "bronze.yellow_trips").drop("nullable")
+    return contracts.dictionary_gaps(f.sources)
 
 
 def column_profile(f: Feed) -> DataFrame:
-    return profile.column_profile(f.bronze, with_distinct=False)
+    return profile.of_tables(
+        f.sources, lambda frame: profile.column_profile(frame, with_distinct=False)
+    )
 
 
 def column_profile_distinct(f: Feed) -> DataFrame:
     """Exact distinct counts, and whether the sketch lies within its error of them."""
-    sketch = profile.column_profile(f.bronze).select(
-        "source_month", "column_name", "distinct_approx"
+    sketch = profile.of_tables(f.sources, profile.column_profile).select(
+        "table_name", "source_month", "column_name", "distinct_approx"
     )
     off = F.abs(F.col("distinct_approx") - F.col("distinct_exact"))
     return (
-        profile.distinct_counts(f.bronze)
-        .join(sketch, ["source_month", "column_name"])
+        profile.of_tables(f.sources, profile.distinct_counts)
+        .join(sketch, ["table_name", "source_month", "column_name"])
         .select(
+            "table_name",
             "source_month",
             "column_name",
             "distinct_exact",
@@ -427,22 +512,32 @@ def column_profile_distinct(f: Feed) -> DataFrame:
     )
 
 
-def _repeated(f: Feed) -> DataFrame:
-    """Raw records, those that stay in one zone twice; all source columns count."""
+def _repeated(f: Feed) -> dict[str, DataFrame]:
+    """Source records, some of them twice: those that stay in one zone, and Asia's zones;
+    all source columns count."""
     stays = F.col("PULocationID") == F.col("DOLocationID")
-    return f.bronze.unionByName(f.bronze.where(stays))
+    return {
+        "bronze.yellow_trips": f.bronze.unionByName(f.bronze.where(stays)),
+        "bronze.taxi_zones": f.raw_zones.unionByName(f.raw_zones.where("Borough = 'ASIA'")),
+    }
 
 
 def duplicate_groups(f: Feed) -> DataFrame:
-    return profile.duplicate_groups(_repeated(f))
+    return profile.duplicate_groups(_repeated(f)["bronze.yellow_trips"])
+
+
+def duplicate_zones(f: Feed) -> DataFrame:
+    return profile.duplicate_groups(_repeated(f)["bronze.taxi_zones"])
 
 
 def duplicate_excess(f: Feed) -> DataFrame:
-    return profile.duplicate_excess(profile.duplicate_groups(_repeated(f)))
+    return profile.of_tables(_repeated(f), profile.duplicate_counts)
 
 
 def category_counts(f: Feed) -> DataFrame:
-    return profile.category_counts(f.bronze, CATEGORIES)
+    return profile.of_tables(
+        f.sources, lambda frame: profile.category_counts(frame, CATEGORIES)
+    )
 
 
 def month_status(f: Feed) -> DataFrame:
@@ -462,19 +557,19 @@ def sensitivity(f: Feed) -> DataFrame:
 
 
 def snapshot_metrics(f: Feed) -> DataFrame:
-    return snapshot.snapshot_metrics(f.silver)
+    return snapshot.snapshot_metrics(f.lookups, f.validated)
 
 
 def snapshot_diff(f: Feed) -> DataFrame:
     """Against a replay that dropped one month's quarantine and moved one month's fares."""
-    moved = F.when(F.col("source_month") == SHIFTED_MONTH, 1).otherwise(0)
-    replayed = {
-        **f.silver,
-        "silver.trips": f.trips.withColumn("fare_amount", F.col("fare_amount") + moved),
-        "silver.rejected_trips": f.rejected.where(F.col("source_month") != BLANKED_MONTH),
-    }
+    kept = F.size("rejection_reasons") == 0
+    moved = F.when(kept & (F.col("source_month") == SHIFTED_MONTH), 1).otherwise(0)
+    replayed = f.validated.where(kept | (F.col("source_month") != BLANKED_MONTH)).withColumn(
+        "fare_amount", F.col("fare_amount") + moved
+    )
     return snapshot.snapshot_diff(
-        snapshot.snapshot_metrics(f.silver), snapshot.snapshot_metrics(replayed)
+        snapshot.snapshot_metrics(f.lookups, f.validated),
+        snapshot.snapshot_metrics(f.lookups, replayed),
     )
 
 
@@ -497,6 +592,9 @@ CLEAN_QUERIES = (
     slow_routes,
     rejection_breakdown,
     warning_breakdown,
+    zone_contract_raw,
+    gated_zone_hours,
+    gated_routes,
     month_texts,
     domain_conformance,
     dictionary_report,
@@ -504,6 +602,7 @@ CLEAN_QUERIES = (
     column_profile,
     column_profile_distinct,
     duplicate_groups,
+    duplicate_zones,
     duplicate_excess,
     category_counts,
     month_status,
@@ -527,7 +626,8 @@ FAULT_QUERIES = (
     check_report,
     status_reconciled,
 )
-STAGED_QUERIES = (check_report, check_totals, check_source_counts)
+STAGED_QUERIES = (gated_zone_hours, gated_routes, dictionary_report)
+STAGED_FAULT_QUERIES = (check_report, check_totals, check_source_counts)
 
 
 def _runner(query, feed):
@@ -537,5 +637,6 @@ def _runner(query, feed):
 QUERIES = {
     **{query.__name__: _runner(query, Feed) for query in CLEAN_QUERIES},
     **{query.__name__: _runner(query, FaultyFeed) for query in FAULT_QUERIES},
-    **{query.__name__: _runner(query, StagedFaultyFeed) for query in STAGED_QUERIES},
+    **{query.__name__: _runner(query, StagedFeed) for query in STAGED_QUERIES},
+    **{query.__name__: _runner(query, StagedFaultyFeed) for query in STAGED_FAULT_QUERIES},
 }

@@ -1,10 +1,10 @@
 """Landing files: names, readers, provenance and the completeness audit."""
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from urllib.parse import unquote
 
-import pyarrow as pa
-from pyarrow import fs
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,97 +69,70 @@ def with_provenance(frame: DataFrame, month: str, filename: str, run_id: str) ->
     )
 
 
-def _open_folder(location: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(re.sub("^file:/+", "/", location).replace("s3a://", "s3://"))
-
-
-def _list_months(folder: str):
-    """List the files below ``folder/<month>`` for each month of a batch.
-
-    Names starting with ``_`` or ``.`` are left out, as Spark's readers do."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for month in batch["source_month"].to_pylist():
-                system, root = _open_folder(f"{folder}/{month}")
-                found = [
-                    (info.path[len(root) :].lstrip("/"), info.size)
-                    for info in system.get_file_info(
-                        fs.FileSelector(root, allow_not_found=True, recursive=True)
-                    )
-                    if info.is_file and info.base_name[0] not in "_."
-                ]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "source_month": pa.array([month] * len(found), pa.string()),
-                        "path": pa.array([path for path, _ in found], pa.string()),
-                        "length": pa.array([size for _, size in found], pa.int64()),
-                    }
-                )
-
-    return run
-
-
-def _read_ends(folder: str):
-    """Fetch the first and last four bytes of each listed file, never the whole file."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, root = _open_folder(folder)
-        size = len(PARQUET_MAGIC)
-        for batch in batches:
-            ends = []
-            for row in batch.to_pylist():
-                if row["length"] < 2 * size:
-                    ends.append(b"")
-                    continue
-                path = f"{root}/{row['source_month']}/{row['path']}"
-                with system.open_input_file(path) as stream:
-                    head = stream.read(size)
-                    stream.seek(row["length"] - size)
-                    ends.append(head + stream.read(size))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(ends, pa.binary())], names=[*batch.schema.names, "ends"]
-            )
-
-    return run
-
-
-def landing_audit(spark: SparkSession, folder: str, months: Sequence[str]) -> DataFrame:
-    """Completeness of the landing files of the given months, one row per file.
-
-    ``violation`` is NULL for a sound file.  Months are listed in parallel; the files
-    are then spread over all tasks, so that a month with very many part files is not
-    left to one, and each costs a read of eight bytes."""
-    wanted = spark.createDataFrame(
-        [(check_month(month),) for month in months], "source_month string"
+def _listed(spark: SparkSession, folder: str, months: Sequence[str]) -> DataFrame:
+    """The files below the months' folders, as Spark itself lists them: with the session's
+    own file systems and settings, and without names that start with ``_`` or ``.``.
+
+    Scans pass over empty files, so what is listed but not scanned has length 0.  The names
+    come from the listing that the scan uses, which the driver holds in any case."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    try:
+        scanned = reader.load(f"{folder}/{{{','.join(months)}}}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string, length bigint, content binary")
+    below = "[0-9]{4}-[0-9]{2}/[^/]+(?:/.*)?"
+    found = [re.search(f"/({below})$", unquote(path)).group(1) for path in scanned.inputFiles()]
+    names = spark.createDataFrame([(path,) for path in found], "path string")
+    files = scanned.select(
+        F.regexp_extract("path", f"/({below})$", 1).alias("path"), "length", "content"
     )
-    listing = "source_month string, path string, length bigint"
-    listed = wanted.repartition("source_month").mapInArrow(_list_months(folder), listing)
-    files = listed.repartition("source_month", "path").mapInArrow(
-        _read_ends(folder), f"{listing}, ends binary"
+    return names.join(files, "path", "left").select(
+        "path", F.coalesce("length", F.lit(0)).alias("length"), "content"
     )
 
-    trip_file = filename_column(F.col("source_month"))
-    name = F.substring_index("path", "/", 1)  # a trip file may be a folder of part files
-    audited = files.select(
-        "source_month",
-        name.alias("file_name"),
-        "path",
+
+def landing_audit(
+    spark: SparkSession, folder: str, months: Sequence[str], ends: bool = True
+) -> DataFrame:
+    """Completeness of the landing files of the given months, one row per file.
+
+    ``violation`` is NULL for a sound file.  The folders are listed once.  With ``ends`` the
+    files are read, each whole by one task, as their reader offers no part of them; without
+    it nothing but the listing is, which finds missing and empty files and odd names."""
+    months = sorted(set(map(check_month, months)))
+    wanted = spark.createDataFrame([(month,) for month in months], "source_month string")
+    pieces = F.split("path", "/", 2)
+    listed = _listed(spark, folder.rstrip("/"), months).select(
+        pieces[0].alias("source_month"),
+        # A trip file may be a folder of part files.
+        F.substring_index(pieces[1], "/", 1).alias("file_name"),
+        pieces[1].alias("path"),
         "length",
+        "content",
+    )
+    trip_file = filename_column(F.col("source_month"))
+    name, content = F.col("file_name"), F.col("content")
+    size = len(PARQUET_MAGIC)
+    violation = (
         F.when(F.col("length") == 0, "empty_file")
         .when(~name.isin(ZONE_FILE) & (name != trip_file), "unexpected_name")
-        .when((name == trip_file) & (F.col("ends") != PARQUET_MAGIC * 2), "incomplete_parquet")
-        .alias("violation"),
     )
-    absent = (
-        wanted.select(
-            "source_month", F.explode(F.array(trip_file, F.lit(ZONE_FILE))).alias("file_name")
+    if ends:
+        sound = (
+            (F.col("length") >= 2 * size)
+            & (F.substring(content, 1, size) == PARQUET_MAGIC)
+            & (F.substring(content, -size, size) == PARQUET_MAGIC)
         )
-        .join(
-            listed.select("source_month", name.alias("file_name")),
-            ["source_month", "file_name"],
-            "left_anti",
-        )
-        .withColumn("violation", F.lit("missing_file"))
+        violation = violation.when((name == trip_file) & ~sound, "incomplete_parquet")
+    audited = listed.select(
+        "source_month", "file_name", "path", "length", violation.alias("violation")
+    )
+    expected = wanted.select(
+        "source_month", F.explode(F.array(trip_file, F.lit(ZONE_FILE))).alias("file_name")
     )
+    absent = expected.join(
+        listed.select("source_month", "file_name"), ["source_month", "file_name"], "left_anti"
+    ).withColumn("violation", F.lit("missing_file"))
     return audited.unionByName(absent, allowMissingColumns=True)

@@ -125,3 +125,14 @@ def places(spark: SparkSession, folder: str) -> DataFrame:
             "date_format(month, 'yyyy-MM') AS source_month",
         )
     )
+
+
+def raw_places(spark: SparkSession, folder: str) -> DataFrame:
+    """The place lookup as its files carry it: text under the source's names."""
+    return places(spark, folder).selectExpr(
+        "CAST(zone_id AS string) AS LocationID",
+        "borough AS Borough",
+        "zone_name AS Zone",
+        "service_zone",
+        "source_month",
+    )
