@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tripfold.llm import words
 from tripfold.session import stage
 
 SLICE_ROWS = 256
@@ -63,6 +64,7 @@ def beside(
     names = [*own, *[field.name for field in found]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words.working(schema)
         for batch in slices(batches):
             computed = compute([t or "" for t in batch.column(text).to_pylist()])
             arrays = [batch.column(name) for name in own]
@@ -78,6 +80,7 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+    pa.default_memory_pool().release_unused()
 
 
 def list_array(parts: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripfold.llm import frames, shingles
+from tripfold.llm import frames, shingles, words
 from tripfold.llm.components import components
 
 COORDINATES = 64
@@ -45,6 +45,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words.working("near_duplicates")
         signer = shingles.Signer(COORDINATES)
         for batch in frames.slices(batches):
             sizes, digests, signed = [], [], []
@@ -142,6 +143,7 @@ def _sets(wanted: DataFrame, docs: DataFrame, name: str) -> DataFrame:
     rows = docs.join(F.broadcast(wanted) if small else wanted, "doc_id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words.working("near_duplicates")
         for batch in frames.slices(batches):
             data = [
                 shingles.shingle_set(text).astype("<u8").tobytes()

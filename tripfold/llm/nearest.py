@@ -110,10 +110,10 @@ def _search(query: _Tile, tile: _Tile, heaps: _Heaps) -> None:
         scores = np.empty(len(which))
         for at in range(0, len(which), 1 << 16):
             some = slice(at, at + (1 << 16))
-            scores[some] = (
-                query.rows[start + which[some]].astype(np.float64)
-                * tile.rows[where[some]].astype(np.float64)
-            ).sum(axis=1)
+            terms = query.rows[start + which[some]].astype(np.float64)
+            terms *= tile.rows[where[some]].astype(np.float64)
+            # Added from the first component to the last, so that no other order differs.
+            scores[some] = np.add.accumulate(terms, axis=1)[:, -1]
         cuts = np.searchsorted(which, np.arange(survives.shape[0] + 1))
         for k in range(survives.shape[0]):
             own = slice(cuts[k], cuts[k + 1])

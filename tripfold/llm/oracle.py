@@ -95,7 +95,80 @@ c{k + 1} AS MATERIALIZED (
     )
 
 
+#: Vectors that take part, one a vec_id, in double precision.
+VECTORS = """
+v AS MATERIALIZED (
+  SELECT vec_id, list_transform(min(embedding), lambda e: e::DOUBLE) AS x FROM embeddings
+  WHERE len(embedding) > 0 AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = len(embedding)
+    AND len(list_filter(embedding, lambda e: e <> 0)) > 0
+  GROUP BY vec_id)"""
+
+#: The least identifier that links ``e`` (both directions) lead to from each of ``every``.
+REACHED = """
+reached AS (
+  SELECT id, id AS other FROM every
+  UNION
+  SELECT reached.id, e.b FROM reached JOIN e ON e.a = reached.other),
+component AS (SELECT id, min(other) AS component_id FROM reached GROUP BY id)"""
+
+EMBEDDING_LINKS = f"""
+WITH RECURSIVE {VECTORS},
+e AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+  ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.95),
+every AS (SELECT DISTINCT vec_id AS id FROM embeddings),
+{REACHED}
+SELECT r.vec_id, (SELECT count(*) FROM e WHERE e.a = r.vec_id)::BIGINT AS n_links,
+  component_id, component_id = r.vec_id AS kept
+FROM (SELECT vec_id FROM embeddings) r JOIN component ON component.id = r.vec_id
+"""
+
+NEAR_DUPLICATES = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(
+    CASE WHEN len(w) = 0 THEN []::VARCHAR[]
+         WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    END) AS shingle
+  FROM d),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS MATERIALIZED (
+  SELECT a, b FROM shared JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+  WHERE 100 * c >= 75 * (p.n + q.n - c)),
+every AS (SELECT DISTINCT doc_id AS id FROM documents),
+{REACHED}
+SELECT r.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id,
+  component_id = r.doc_id AS kept
+FROM (SELECT doc_id FROM documents) r JOIN component ON component.id = r.doc_id
+LEFT JOIN n ON n.doc_id = r.doc_id
+"""
+
+NEAREST = f"""
+WITH {VECTORS},
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    list_reduce(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2]), lambda a, b: a + b)
+      AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 20 = 0)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+  FROM scored)
+WHERE rank <= 20
+"""
+
 SQL = {
+    "op1_embedding_near_dedup": EMBEDDING_LINKS,
+    "op4_minhash_near_dedup": NEAR_DUPLICATES,
+    "op8_nearest": NEAREST,
     "op12_centroid_clustering": lloyd(),
     "op13_source_divergence": DIVERGENCE,
 }

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripfold.llm import frames
+from tripfold.llm import frames, words
 
 KINDS = ("email", "ip", "card", "phone", "found")
 EMAIL, IP, CARD, PHONE, FOUND, PLAIN = range(6)  # PLAIN: a number too short to be any
@@ -376,6 +376,7 @@ def _scan(rows: DataFrame, keep: bool = False) -> DataFrame:
                 ("patterns", pa.list_(edge)),
             ]
         )
+        words.working("personal_data")
         for batch in frames.slices(batches):
             found = [instances(text) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(

@@ -60,7 +60,7 @@ SECOND_PERSON = frozenset(
 DISGUISES = str.maketrans("@4310!$57+8", "aaeioissttb")
 
 WORD = re.compile(r"[^\W\d_]+")
-DISGUISED = re.compile(r"[^\W\d_]*(?:[@$!*0134578+#]+[^\W\d_]+)+")
+DISGUISED = re.compile(r"(?<![^\W\d_])[^\W\d_]*+(?:[@$!*0134578+#]++[^\W\d_]++)+")
 SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_][ .*_-]){3,}[^\W\d_](?![^\W_])")
 DRAWN_OUT = re.compile(r"([^\W\d_])\1\1+")
 SHOUTED = re.compile(r"\b[A-ZÀ-Þ]{3,}\b")
@@ -116,30 +116,78 @@ def windows(text: str) -> Iterator[str]:
         start = end
 
 
-def _disguised_hits(part: str) -> int:
-    """Lexicon words behind letters that are replaced, spaced out or drawn out."""
-    hits = 0
-    for match in DISGUISED.finditer(part):
-        hits += kind_of(match.group().translate(DISGUISES)) is not None
-    for match in SPACED.finditer(part):
-        hits += kind_of(re.sub(r"[ .*_-]", "", match.group())) is not None
-    for match in DRAWN_OUT.finditer(part):
-        start, end = match.span()
-        while start and part[start - 1].isalpha():
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _runs(same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the stretches of true values."""
+    edges = np.flatnonzero(np.diff(same, prepend=False, append=False))
+    return edges[::2], edges[1::2]
+
+
+def _drawn_out(low: str, points: np.ndarray) -> tuple[int, int]:
+    """Letters that stand three times or more in a row, and lexicon words that they hide."""
+    starts, ends = _runs((points[1:] == points[:-1]) if len(points) > 2 else np.zeros(0, bool))
+    drawn = hits = 0
+    for start, end in zip(starts.tolist(), ends.tolist(), strict=True):
+        if end - start < 2 or not low[start].isalpha():
+            continue
+        drawn += 1
+        end += 1
+        while start and end - start <= 64 and low[start - 1].isalpha():
             start -= 1
-        while end < len(part) and part[end].isalpha():
+        while end < len(low) and end - start <= 64 and low[end].isalpha():
             end += 1
-        if end - start <= 64:
-            hits += kind_of(DRAWN_OUT.sub(r"\1", part[start:end])) is not None
-    return hits
+        hits += kind_of(DRAWN_OUT.sub(r"\1", low[start:end])) is not None
+    return drawn, hits
+
+
+def _shouted(part: str, upper: np.ndarray) -> int:
+    """Words of three letters or more that are all capitals."""
+    starts, ends = _runs(upper)
+    long = ends - starts >= 3
+    return sum(
+        not (start and (part[start - 1].isalnum() or part[start - 1] == "_"))
+        and not (end < len(part) and (part[end].isalnum() or part[end] == "_"))
+        for start, end in zip(starts[long].tolist(), ends[long].tolist(), strict=True)
+    )
+
+
+class Words(dict):
+    """Kind and learned weight of words: None for most, kind -1 for a second person.
+
+    Words once looked up are kept, up to a number."""
+
+    LIMIT = 200_000
+
+    def __init__(self, lexicon: dict[str, float]):
+        super().__init__()
+        self.lexicon = lexicon
+
+    def __missing__(self, word: str) -> tuple[int | None, float] | None:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        small, middle, large = BEGINNINGS
+        lexicon = self.lexicon
+        own = lexicon.get(word[:large]) or lexicon.get(word[:middle]) or lexicon.get(word[:small])
+        kind = kind_of(word)
+        about = None
+        if word in SECOND_PERSON:
+            about = (-1, 0.0)
+        elif own or kind is not None:
+            about = (kind, own or 0.0)
+        self[word] = about
+        return about
 
 
-def features(text: str, lexicon: dict[str, float]) -> np.ndarray:
-    """One number for each of ``FEATURES``, over the whole text; ``lexicon`` holds the weights
-    of learned beginnings."""
+def features(text: str, known: "Words | dict[str, float]") -> np.ndarray:
+    """One number for each of ``FEATURES``, over the whole text; ``known`` tells words, or is
+    the lexicon of learned beginnings and their weights."""
+    if not isinstance(known, Words):
+        known = Words(known)
     counts = np.zeros(len(KINDS))
     learned, weight = 0, 0.0
-    small, middle, large = BEGINNINGS
     distinct: set[str] = set()
     hits_at: list[int] = []
     persons_at: list[int] = []
@@ -148,32 +196,41 @@ def features(text: str, lexicon: dict[str, float]) -> np.ndarray:
     for part in windows(text):
         low = part.lower()
         found = WORD.findall(low)
-        for k, word in enumerate(found):
-            if word in SECOND_PERSON:
-                persons_at.append(words + k)
-                continue
-            kind = KIND_OF.get(word) if word.isascii() else kind_of(word)
-            own = lexicon.get(word[:large]) or lexicon.get(word[:middle]) or lexicon.get(word[:small])
-            if kind is not None:
-                counts[kind] += 1
-            if own:
-                learned += 1
-                weight += own
-            if own or kind is not None:
+        telling = {word: about for word in set(found) if (about := known[word])}
+        if telling:
+            for k, word in enumerate(found):
+                if word not in telling:
+                    continue
+                kind, own = telling[word]
+                if kind == -1:
+                    persons_at.append(words + k)
+                    continue
+                if kind is not None:
+                    counts[kind] += 1
+                if own:
+                    learned += 1
+                    weight += own
                 distinct.add(word)
                 hits_at.append(words + k)
         words += len(found)
         letters += sum(map(len, found))
+        points = _points(low)
         if len(low) == len(part):
-            own, other = (np.frombuffer(t.encode("utf-32-le"), np.uint32) for t in (part, low))
-            capitals += int(np.count_nonzero(own != other))
+            upper = _points(part) != points
+            capitals += int(np.count_nonzero(upper))
+            shouted += _shouted(part, upper)
         else:  # some letter has a longer small form
             capitals += sum(map(str.isupper, part))
-        shouted += len(SHOUTED.findall(part))
-        disguised += len(DISGUISED.findall(low))
-        spaced += len(SPACED.findall(low))
-        drawn += len(DRAWN_OUT.findall(low))
-        hidden += _disguised_hits(low)
+            shouted += len(SHOUTED.findall(part))
+        for match in DISGUISED.finditer(low):
+            disguised += 1
+            hidden += kind_of(match.group().translate(DISGUISES)) is not None
+        for match in SPACED.finditer(low):
+            spaced += 1
+            hidden += kind_of(re.sub(r"[ .*_-]", "", match.group())) is not None
+        more = _drawn_out(low, points)
+        drawn += more[0]
+        hidden += more[1]
     reach = np.full(len(hits_at), float(REACH))
     if hits_at and persons_at:
         hits, persons = np.array(hits_at), np.array([-REACH, *persons_at, words + REACH])
@@ -208,8 +265,8 @@ def features(text: str, lexicon: dict[str, float]) -> np.ndarray:
     )
 
 
-def matrix(texts: list[str], lexicon: dict[str, float]) -> np.ndarray:
-    rows = [features(text, lexicon) for text in texts]
+def matrix(texts: list[str], known: Words) -> np.ndarray:
+    rows = [features(text, known) for text in texts]
     return np.array(rows).reshape(len(texts), len(FEATURES))
 
 
@@ -323,8 +380,8 @@ class Model:
     def __init__(self, lexicon: dict[str, float], trees: boosting.Calibrated):
         self.lexicon, self.trees = lexicon, trees
 
-    def scores(self, texts: list[str]) -> np.ndarray:
-        return self.trees.scores(matrix(texts, self.lexicon))
+    def scores(self, texts: list[str], known: Words) -> np.ndarray:
+        return self.trees.scores(matrix(texts, known))
 
 
 def learn(
@@ -359,9 +416,10 @@ def learn(
     lexicons = [lexicon_of(found, sizes, fold) for fold in range(FOLDS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = [Words(lexicon) for lexicon in lexicons]
         for batch in frames.slices(batches):
             described = [
-                features(text, lexicons[fold]).tobytes()
+                features(text, known[fold]).tobytes()
                 for text, fold in zip(
                     batch.column("text").to_pylist(), batch.column("fold").to_pylist(), strict=True
                 )
@@ -401,8 +459,9 @@ def score(
     rows = frames.texts(docs, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Words(held.value.lexicon)
         for batch in frames.slices(batches):
-            found = held.value.scores(batch.column("text").to_pylist())
+            found = held.value.scores(batch.column("text").to_pylist(), known)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(found, pa.float64())], ["doc_id", "score"]
             )

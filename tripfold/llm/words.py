@@ -100,5 +100,6 @@ def working(kind: str) -> None:
     if _work[0] != kind:
         for cache in _caches:
             cache.release()
+        library.cache_clear()
         _work[0] = kind
         pa.default_memory_pool().release_unused()
