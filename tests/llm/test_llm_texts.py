@@ -386,6 +386,50 @@ def test_shared_contexts_find_identifiers(spark, awkward, empty):
     assert pii.find(empty).count() == 0 and pii.redact(empty).count() == 0
 
 
+def plain_trust(edges, min_seeds, min_confidence):
+    """The same scores over the same edges, one pattern and one value after the other."""
+    trust = {value: 1.0 for _, value, seed, *_ in edges if seed}
+    known = -1
+    while len(trust) > known:
+        known = len(trust)
+        best = dict(trust)
+        for pattern in {edge[0] for edge in edges}:
+            own = [edge for edge in edges if edge[0] == pattern]
+            held = [trust[edge[1]] for edge in own if edge[1] in trust]
+            weight = sum((1.0 if e[1] in trust else e[4]) + e[5] for e in own)
+            if len(held) >= min_seeds and weight and sum(held) / weight >= min_confidence:
+                for _, value, seed, plain, *_ in own:
+                    if not seed and not plain:
+                        best[value] = max(best.get(value, 0), sum(held) / weight)
+        trust = best
+    fresh = {value for _, value, seed, plain, *_ in edges if not seed and not plain}
+    return {value: round(trust[value], 9) for value in fresh & set(trust)}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_trust_spreads_as_in_brute_force(spark, seed):
+    random = np.random.default_rng(seed)
+    kinds = {f"v{k}": (k < 12, k >= 34) for k in range(40)}  # seeds, then fresh, then plain
+    edges = {}
+    for _ in range(260):
+        pattern, value = int(random.integers(25)), f"v{random.integers(40)}"
+        weight, against = float(random.choice([0.1, 0.2])), int(random.integers(20) == 0)
+        edges[f"p{pattern}", value] = (f"p{pattern}", value, *kinds[value], weight, against)
+    # A chain: each link is trusted only after the one before, more than three rounds long.
+    for k in range(6):
+        for j in range(5):
+            held = (f"c{k}", f"s{j}" if k == 0 else f"l{k - 1}-{j}", k == 0, False, 0.1, 0)
+            edges[held[:2]] = held
+            edges[f"c{k}", f"l{k}-{j}"] = (f"c{k}", f"l{k}-{j}", False, False, 0.1, 0)
+    rows = list(edges.values())
+    frame = spark.createDataFrame(
+        rows, "pattern string, value string, seed boolean, plain boolean, weight double, against bigint"
+    )
+    found = {r.value: round(r.trust, 9) for r in pii.trusted_values(frame, 3, 0.5).collect()}
+    assert found == plain_trust(rows, 3, 0.5)
+    assert {f"l5-{j}" for j in range(5)} <= set(found)
+
+
 def test_identifiers_of_many_shapes_are_candidates(spark):
     shapes = [
         "EMP-004217", "PAT-2024-0012", "GB-29-NWBK-1234", "EMP004217", "AB12-3456",

@@ -54,7 +54,6 @@ NEAR = 3  # characters at most between neighbours
 DOUBTFUL = re.compile(r"[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]+\.[0-9]+|[0-9]+(?:\.[0-9]+){3}")
 UNKNOWN = 0.1  # what an unknown value counts against a pattern of three words
 
-ROUNDS = 3
 MIN_SEEDS = 5
 MIN_CONFIDENCE = 0.9
 
@@ -244,23 +243,23 @@ def instances(text: str) -> list[dict]:
 
 
 def trusted_values(
-    edges: DataFrame,
-    rounds: int = ROUNDS,
-    min_seeds: int = MIN_SEEDS,
-    min_confidence: float = MIN_CONFIDENCE,
+    edges: DataFrame, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE
 ) -> DataFrame:
-    """Values that high-confidence patterns fit, from edges (pattern, value, seed, plain,
-    weight, against).
+    """Values that high-confidence patterns fit, from distinct edges (pattern, value, seed,
+    plain, weight, against).
 
     Each round scores a pattern, if at least ``min_seeds`` of its distinct values are
     trusted, by their trust over the trusted values, the weights of the others and the words
     seen in their place; then a value by the best of its patterns.  Trust is 1 for a seed
-    and else the value's score where that reaches ``min_confidence``; plain values never
-    gain any.  Both steps aggregate before they shuffle; the trusted values are staged each
-    round, which keeps the plan short."""
-    trusted = edges.where("seed").select("value").distinct().withColumn("trust", F.lit(1.0))
+    and else the best score so far that reached ``min_confidence``; plain values never
+    gain any.  Trust is never lost, and rounds go on until one brings no new value, so there
+    are at most as many as values.  Both steps aggregate before they shuffle; the trusted
+    values are staged each round, which keeps the plan short."""
+    seeds = edges.where("seed").select("value", F.lit(1.0).alias("trust")).distinct()
     fresh = edges.where(~F.col("seed") & ~F.col("plain")).select("pattern", "value")
-    for _ in range(rounds):
+    trusted, known = frames.staged(seeds, "trust"), -1
+    while (number := trusted.count()) > known:
+        known = number
         patterns = (
             edges.join(trusted, "value", "left")
             .groupBy("pattern")
@@ -278,10 +277,9 @@ def trusted_values(
             .select("pattern", "confidence")
         )
         won = fresh.join(patterns, "pattern").groupBy("value").agg(F.max("confidence").alias("trust"))
-        seeds = edges.where("seed").select("value", F.lit(1.0).alias("trust"))
-        trusted = frames.staged(
-            seeds.unionByName(won).groupBy("value").agg(F.max("trust").alias("trust")), "trust"
-        )
+        every = trusted.unionByName(won).groupBy("value").agg(F.max("trust").alias("trust"))
+        before, trusted = trusted, frames.staged(every, "trust")
+        frames.drop_staged(before)
     return trusted.join(fresh.select("value").distinct(), "value", "left_semi")
 
 
@@ -289,7 +287,6 @@ def find(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    rounds: int = ROUNDS,
     min_seeds: int = MIN_SEEDS,
     min_confidence: float = MIN_CONFIDENCE,
 ) -> DataFrame:
@@ -303,7 +300,7 @@ def find(
     scanned = frames.staged(
         _scan(rows).withColumn("row", F.monotonically_increasing_id()), "identifiers"
     )
-    return _spans(scanned, rounds, min_seeds, min_confidence).select("doc_id", "spans")
+    return _spans(scanned, min_seeds, min_confidence).select("doc_id", "spans")
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -321,7 +318,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     scanned = frames.staged(
         _scan(rows, keep=True).withColumn("row", F.monotonically_increasing_id()), "identifiers"
     )
-    marked = _spans(scanned, ROUNDS, MIN_SEEDS, MIN_CONFIDENCE)
+    marked = _spans(scanned, MIN_SEEDS, MIN_CONFIDENCE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in frames.slices(batches):
@@ -391,7 +388,7 @@ def _scan(rows: DataFrame, keep: bool = False) -> DataFrame:
 
 
 def _spans(
-    scanned: DataFrame, rounds: int, min_seeds: int, min_confidence: float
+    scanned: DataFrame, min_seeds: int, min_confidence: float
 ) -> DataFrame:
     """The scanned rows with ``spans``: base spans, and those of trusted values."""
     each = scanned.select("row", F.explode("instances").alias("one")).select("row", "one.*")
@@ -407,7 +404,7 @@ def _spans(
         ),
         "patterns",
     )
-    trusted = trusted_values(edges, rounds, min_seeds, min_confidence)
+    trusted = trusted_values(edges, min_seeds, min_confidence)
     # Of a run and the tokens inside it only the widest trusted one stays.
     before = (
         Window.partitionBy("row")
