@@ -11,7 +11,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripfold.llm import frames, vectors
@@ -21,7 +21,8 @@ THRESHOLD = 0.95
 LEADING = 16  # coordinates added at a time
 BOX = 8  # coordinates of a tile's box
 BLOCK = 1024  # rows of a tile compared at a time
-PAIRS_A_TASK = 4
+TILES_A_GROUP = 32  # at most; a task holds two groups
+TILES_A_SHARE = 64  # of a cell, that meet the cell's other tiles in one task
 
 
 def principal_axes(reps: DataFrame, dimension: int, kind: str) -> np.ndarray:
@@ -97,24 +98,30 @@ def _tiles(reps: DataFrame, axes: np.ndarray, kind: str, count: int) -> DataFram
     return frames.staged(ordered.mapInArrow(pack, schema), "tiles")
 
 
-def _tile_pairs(tiles: DataFrame, threshold: float) -> DataFrame:
+def _tile_pairs(tiles: DataFrame, threshold: float, count: int) -> DataFrame:
     """Pairs of tiles whose boxes hold points near enough, each once.
 
     Two vectors of length one reach the threshold only within this distance, so along the
     first axis tiles meet only in cells that wide or in the next ones; the boxes of those
-    that meet are then compared in all their coordinates."""
+    that meet are then compared in all their coordinates.  There are few cells, so the
+    tiles of one are dealt into shares, and each share meets the whole cell in its own task.
+    Of the cells in which two tiles meet only the first one tells."""
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-6
+    shares = max(1, -(-count // TILES_A_SHARE))
     first = F.floor(F.col("low")[0] / reach)
     last = F.floor(F.col("high")[0] / reach)
     boxes = tiles.select("tile", "low", "high")
     one = boxes.select(
         F.col("tile").alias("a"), F.col("low").alias("la"), F.col("high").alias("ha"),
+        first.alias("fa"),
         F.explode(F.sequence(first, last)).alias("cell"),
+        F.pmod(F.xxhash64("tile"), F.lit(shares)).cast("int").alias("share"),
     )
     other = boxes.select(
         F.col("tile").alias("b"), F.col("low").alias("lb"), F.col("high").alias("hb"),
+        (first - 1).alias("fb"),
         F.explode(F.sequence(first - 1, last + 1)).alias("cell"),
-    )
+    ).select("*", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"))
     gap = F.aggregate(
         F.zip_with(
             F.zip_with("la", "hb", lambda x, y: x - y),
@@ -125,10 +132,10 @@ def _tile_pairs(tiles: DataFrame, threshold: float) -> DataFrame:
         lambda total, x: total + x * x,
     )
     return (
-        one.join(other, "cell")
-        .where((F.col("a") <= F.col("b")) & (gap <= reach * reach))
+        one.join(other, ["cell", "share"])
+        .where((F.col("a") <= F.col("b")) & (F.col("cell") == F.greatest("fa", "fb")))
+        .where(gap <= reach * reach)
         .select("a", "b")
-        .distinct()
     )
 
 
@@ -209,36 +216,71 @@ def _links(reps: DataFrame, dimension: int, threshold: float) -> DataFrame:
     reps = reps.where(F.size("embedding") == dimension)
     axes = principal_axes(reps, dimension, kind)
     tiles = _tiles(reps, axes, kind, reps.count())
-    pairs = frames.staged(_tile_pairs(tiles, threshold), "tile-pairs")
-    tasks = max(1, -(-pairs.count() // PAIRS_A_TASK))
-    held = reps.sparkSession.sparkContext.broadcast(axes)
+    count = tiles.count()
+    context = reps.sparkSession.sparkContext
+    # Few groups, as a tile is sent once for each it meets, but enough pairs of them to share.
+    groups = max(-(-count // TILES_A_GROUP), min(count, int(np.sqrt(4 * context.defaultParallelism))))
+
+    def group_of(tile: str) -> Column:
+        return F.pmod(F.xxhash64(tile), F.lit(max(1, groups))).cast("int")
+
+    # A pair of groups is a task of the grid; of two tiles the one in the lesser group leads.
+    pairs = frames.staged(
+        _tile_pairs(tiles, threshold, count)
+        .withColumns({"ga": group_of("a"), "gb": group_of("b")})
+        .select(
+            F.least("ga", "gb").alias("one"),
+            F.greatest("ga", "gb").alias("two"),
+            F.when(F.col("ga") <= F.col("gb"), F.col("a")).otherwise(F.col("b")).alias("a"),
+            F.when(F.col("ga") <= F.col("gb"), F.col("b")).otherwise(F.col("a")).alias("b"),
+        ),
+        "tile-pairs",
+    )
+    none = F.array().cast("array<bigint>")
+    sent = (
+        pairs.groupBy("one", "two", F.col("a").alias("tile"))
+        .agg(F.collect_list("b").alias("partners"))  # at most a group of tiles
+        .unionByName(
+            pairs.select("one", "two", F.col("b").alias("tile"), none.alias("partners"))
+        )
+        .groupBy("one", "two", "tile")
+        .agg(F.max("partners").alias("partners"))
+    )
+    held = context.broadcast(axes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def tile(row, side):
-            ids = np.frombuffer(row[f"ids_{side}"], dtype="<i8")
-            rows = np.frombuffer(row[f"data_{side}"], dtype=kind).reshape(len(ids), dimension)
-            return ids, np.frombuffer(row[f"copies_{side}"], dtype="<i8"), vectors.unit(rows)
-
+        def compared(met: dict) -> Iterator[pa.RecordBatch]:
+            def tile(number):
+                row = met[number]
+                ids = np.frombuffer(row["ids"], dtype="<i8")
+                rows = np.frombuffer(row["data"], dtype=kind).reshape(len(ids), dimension)
+                return ids, np.frombuffer(row["copies"], dtype="<i8"), vectors.unit(rows)
+
+            for number, row in met.items():
+                left = tile(number) if row["partners"] else None
+                for partner in row["partners"]:
+                    same = partner == number
+                    right = left if same else tile(partner)
+                    for found in _compare_tiles(left, right, same, threshold, held.value):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(values) for values in found], ["vec_id", "links", "root"]
+                        )
+
+        key, met = None, {}
         for batch in frames.slices(batches, 1):
             row = batch.to_pylist()[0]
-            same = row["a"] == row["b"]
-            left = tile(row, "a")
-            right = left if same else tile(row, "b")
-            for ids, links, roots in _compare_tiles(left, right, same, threshold, held.value):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids), pa.array(links), pa.array(roots)], ["vec_id", "links", "root"]
-                )
-
-    def side(name, key):
-        return tiles.select(
-            F.col("tile").alias(key),
-            *[F.col(c).alias(f"{c}_{name}") for c in ("ids", "copies", "data")],
-        )
-
-    blocks = pairs.join(side("a", "a"), "a").join(side("b", "b"), "b")
-    return blocks.repartition(tasks, "a", "b").mapInArrow(
-        run, "vec_id bigint, links bigint, root bigint"
+            if (row["one"], row["two"]) != key:
+                yield from compared(met)
+                key, met = (row["one"], row["two"]), {}
+            met[row["tile"]] = row
+        yield from compared(met)
+
+    grid = (
+        sent.join(tiles.select("tile", "ids", "copies", "data"), "tile")
+        .repartition(max(1, groups * (groups + 1) // 2), "one", "two")
+        .sortWithinPartitions("one", "two")
     )
+    return grid.mapInArrow(run, "vec_id bigint, links bigint, root bigint")
 
 
 def near_duplicates(

@@ -19,6 +19,7 @@ from tripfold.llm import frames, vectors
 
 TILES_A_GROUP = 8
 LEAST_GROUPS = 8
+QUERY_TILES = 4  # of one group; a task holds the heaps of their queries
 BLOCK = 512  # queries compared at a time
 
 
@@ -60,15 +61,15 @@ def _tiles(found: DataFrame, dimension: int, kind: str, name: str) -> DataFrame:
 
 
 class _Tile:
-    def __init__(self, row: dict, side: str, dimension: int, kind: str):
-        self.ids = np.frombuffer(row[f"ids_{side}"], dtype="<i8")
+    def __init__(self, row: dict, dimension: int, kind: str):
+        self.ids = np.frombuffer(row["ids"], dtype="<i8")
         shape = (len(self.ids), dimension)
-        self.rows = np.frombuffer(row[f"data_{side}"], dtype=kind).reshape(shape)
-        codes = np.frombuffer(row[f"codes_{side}"], dtype=np.int8).reshape(shape)
+        self.rows = np.frombuffer(row["data"], dtype=kind).reshape(shape)
+        codes = np.frombuffer(row["codes"], dtype=np.int8).reshape(shape)
         # Sums of at most 1024 products of int8 are whole numbers below 2^24, so single
         # precision holds them exactly; longer vectors use double precision.
         self.codes = codes.astype(np.float32 if dimension <= 1024 else np.float64)
-        self.scale, self.norm, self.rest = np.frombuffer(row[f"bounds_{side}"]).reshape(3, -1)
+        self.scale, self.norm, self.rest = np.frombuffer(row["bounds"]).reshape(3, -1)
 
 
 class _Heaps:
@@ -136,8 +137,9 @@ def nearest(
     ``k`` candidates all are returned; an empty table gives an empty result, and extra
     columns are ignored.
 
-    A group of candidate tiles meets a tile of queries in one task, which returns ``k``
-    rows a query; those few rows a group are ranked at the end."""
+    Tasks form a grid: a group of candidate tiles meets a group of query tiles in one, which
+    returns ``k`` rows a query.  A tile is sent once for each group of the other side, and
+    the few rows of each task are ranked at the end."""
     found = frames.staged(vectors.unique_vectors(embeddings, id_col, vector_col), "vectors")
     kind = vectors.kind_of(found)
     parts = []
@@ -164,11 +166,13 @@ def _best_of_groups(
     # Some groups to share the work; then so many rows a group that results stay few.
     rows = TILES_A_GROUP * vectors.tile_rows(dimension, kind)
     groups = max(1, min(count, LEAST_GROUPS), -(-found.count() // rows))
+    query_groups = max(1, -(-query_tiles // QUERY_TILES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(heaps: _Heaps) -> pa.RecordBatch:
+        def done(held: list[tuple[_Tile, _Heaps]]) -> pa.RecordBatch:
             rows = [
                 (query, -other, score)
+                for _, heaps in held
                 for query, heap in zip(heaps.queries.tolist(), heaps.heaps, strict=True)
                 for score, other in heap
             ]
@@ -178,33 +182,38 @@ def _best_of_groups(
                 ["query_id", "vec_id", "score"],
             )
 
-        asked_tile, key, heaps = None, None, None
+        key, held = None, []
         for batch in frames.slices(batches, 1):
             row = batch.to_pylist()[0]
-            if row["q"] != key:
-                if heaps:
-                    yield done(heaps)
-                key, asked_tile = row["q"], _Tile(row, "q", dimension, kind)
-                heaps = _Heaps(asked_tile.ids, k)
-            _search(asked_tile, _Tile(row, "c", dimension, kind), heaps)
-        if heaps:
-            yield done(heaps)
-
-    def side(frame, name):
-        return frame.select(
-            F.col("tile").alias(name),
-            *[F.col(c).alias(f"{c}_{name}") for c in ("ids", "data", "codes", "bounds")],
-        )
-
-    # The tiles' numbers alone, one for tens of thousands of vectors, are put in order.
-    numbers = asked.select("tile", F.row_number().over(Window.orderBy("tile")).alias("q"))
-    numbered = asked.join(numbers, "tile").drop("tile").withColumnRenamed("q", "tile")
-    blocks = (
-        side(tiles, "c")
-        .withColumn("part", F.pmod(F.xxhash64("c"), F.lit(groups)))
-        .withColumn("q", F.explode(F.sequence(F.lit(1), F.lit(query_tiles))))
-        .join(side(numbered, "q"), "q")
-        .repartition(max(1, groups * query_tiles), "q", "part")
-        .sortWithinPartitions("q")
+            if (row["q"], row["c"]) != key:
+                if held:
+                    yield done(held)
+                key, held = (row["q"], row["c"]), []
+            tile = _Tile(row, dimension, kind)
+            if not row["candidate"]:  # queries come first
+                held.append((tile, _Heaps(tile.ids, k)))
+                continue
+            for query, heaps in held:
+                _search(query, tile, heaps)
+        if held:
+            yield done(held)
+
+    def group_of(size: int) -> Column:
+        return F.pmod(F.xxhash64("tile"), F.lit(size)).cast("int")
+
+    def every(size: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(size - 1)))
+
+    columns = ("ids", "data", "codes", "bounds")
+    candidates = tiles.select(
+        every(query_groups).alias("q"), group_of(groups).alias("c"), F.lit(True).alias("candidate"), *columns
+    )
+    queried = asked.select(
+        group_of(query_groups).alias("q"), every(groups).alias("c"), F.lit(False).alias("candidate"), *columns
+    )
+    grid = (
+        queried.unionAll(candidates.select(*queried.columns))
+        .repartition(max(1, groups * query_groups), "q", "c")
+        .sortWithinPartitions("q", "c", "candidate")
     )
-    return blocks.mapInArrow(run, "query_id bigint, vec_id bigint, score double")
+    return grid.mapInArrow(run, "query_id bigint, vec_id bigint, score double")
