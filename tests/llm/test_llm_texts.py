@@ -545,6 +545,19 @@ def test_stated_chance_to_miss_a_pair():
     assert abs(1e7 * missed - stated) < 0.05
 
 
+def test_tokens_tell_coordinates_and_values_apart():
+    random = np.random.default_rng(1)
+    least = random.integers(0, 1 << 64, (500, minhash.COORDINATES), dtype=np.uint64)
+    upper, lower = zip(*map(shingles.halves, least), strict=True)
+    tokens = shingles.tokens(
+        np.array([np.frombuffer(u, "<u4") for u in upper]),
+        np.array([np.frombuffer(w, "<u2") for w in lower]),
+    )
+    assert len(np.unique(tokens)) == tokens.size and (tokens >= 0).all()
+    assert np.array_equal(tokens & ((1 << 48) - 1), (least >> np.uint64(16)).astype(np.int64))
+    assert np.array_equal(tokens >> 48, np.tile(np.arange(minhash.COORDINATES), (500, 1)))
+
+
 def test_short_texts_are_one_shingle():
     assert len(shingles.shingle_set("\xa0")) == 1 and len(shingles.shingle_set(" ")) == 0
     assert shingles.shingle_set("A b\tc").tolist() == shingles.shingle_set("a B\x0bc").tolist()

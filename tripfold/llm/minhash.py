@@ -38,9 +38,10 @@ BROADCAST_BYTES = 32 << 20
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, digest of the set, signature.
+    """One row per input row: doc_id, n_shingles, digest of the set, signature and the bits
+    below it, see ``shingles.halves``.
 
-    A document without words has no shingle and null for the other two."""
+    A document without words has no shingle and null for the other three."""
     rows = frames.texts(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
 
@@ -49,23 +50,24 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         signer = shingles.Signer(COORDINATES)
         for batch in frames.slices(batches):
             sizes, digests, signed = [], [], []
+            none = (None, None)
             for text in batch.column("text").to_pylist():
                 found = shingles.shingle_set(text)
                 sizes.append(len(found))
                 digests.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
-                signed.append(signer.sign(found).astype("<u4").tobytes() if len(found) else None)
+                signed.append(shingles.halves(signer.sign(found)) if len(found) else none)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
-                    pa.array(signed, pa.binary()),
+                    *[pa.array([own[k] for own in signed], pa.binary()) for k in (0, 1)],
                 ],
-                ["doc_id", "n_shingles", "digest", "signature"],
+                ["doc_id", "n_shingles", "digest", "signature", "below"],
             )
 
     return rows.mapInArrow(
-        run, f"doc_id {kind}, n_shingles bigint, digest binary, signature binary"
+        run, f"doc_id {kind}, n_shingles bigint, digest binary, signature binary, below binary"
     )
 
 
@@ -73,19 +75,21 @@ def _prefixes(reps: DataFrame) -> DataFrame:
     """rep and its prefix: the rarest useful tokens, one more than may be missed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = np.arange(COORDINATES, dtype=np.int64) << 32
         for batch in batches:
-            data = b"".join(batch.column("signature").to_pylist())
-            values = np.frombuffer(data, dtype="<u4").reshape(-1, COORDINATES)
+            upper, lower = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), kind).reshape(-1, COORDINATES)
+                for c, kind in (("signature", "<u4"), ("below", "<u2"))
+            )
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.repeat(batch.column("rep").to_numpy(), COORDINATES)),
-                    pa.array((values + places).ravel()),
+                    pa.array(shingles.tokens(upper, lower).ravel()),
                 ],
                 ["rep", "token"],
             )
 
-    tokens = reps.select("rep", "signature").mapInArrow(run, "rep bigint, token bigint")
+    signed = reps.select("rep", "signature", "below")
+    tokens = signed.mapInArrow(run, "rep bigint, token bigint")
     shared = tokens.groupBy("token").agg(F.count("*").alias("df")).where(F.col("df") > 1)
     return (
         tokens.join(shared, "token")
@@ -395,8 +399,14 @@ def near_duplicates(
     sets = (
         signed.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("digest")
-        .agg(F.min(F.struct("doc_id", "n_shingles", "signature")).alias("one"))
-        .select("digest", F.col("one.doc_id").alias("rep"), "one.n_shingles", "one.signature")
+        .agg(F.min(F.struct("doc_id", "n_shingles", "signature", "below")).alias("one"))
+        .select(
+            "digest",
+            F.col("one.doc_id").alias("rep"),
+            "one.n_shingles",
+            "one.signature",
+            "one.below",
+        )
     )
     reps = frames.staged(sets, "distinct-sets")
 

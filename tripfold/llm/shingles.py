@@ -45,13 +45,29 @@ class Signer:
         self.shifts = random.integers(0, 1 << 63, coordinates, dtype=np.uint64)
 
     def sign(self, hashes: np.ndarray) -> np.ndarray:
-        """32 bits for each coordinate; the high half of a product is well mixed."""
+        """64 bits for each coordinate, of which the upper ones are well mixed."""
         least = np.full(len(self.factors), np.iinfo(np.uint64).max, dtype=np.uint64)
         for start in range(0, len(hashes), 2048):
             part = hashes[start : start + 2048]
             values = part[None, :] * self.factors[:, None] + self.shifts[:, None]
             least = np.minimum(least, values.min(axis=1))
-        return (least >> np.uint64(32)).astype(np.uint32)
+        return least
+
+
+def halves(least: np.ndarray) -> tuple[bytes, bytes]:
+    """The upper 32 bits of each value, by which signatures are compared, and the 16 below,
+    which tell tokens apart in a large corpus."""
+    upper, lower = least >> np.uint64(32), (least >> np.uint64(16)) & np.uint64(0xFFFF)
+    return upper.astype("<u4").tobytes(), lower.astype("<u2").tobytes()
+
+
+def tokens(upper: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """Coordinate and 48 bits of its value in one number; rows are documents.
+
+    Unrelated sets of n shingles share one with a chance of n / 2^48 a coordinate, so of
+    10^10 documents some hundredth of a stranger stands in a list."""
+    places = np.arange(upper.shape[1], dtype=np.int64) << 48
+    return (upper.astype(np.int64) << 16) + lower.astype(np.int64) + places
 
 
 def common(one: np.ndarray, other: np.ndarray) -> int:
