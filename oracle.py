@@ -654,6 +654,16 @@ SELECTS = {
         for table, source, c, _ in SOURCES
         if c in CATEGORIES
     ),
+    "gold_increment": f"""
+        SELECT {MONTHLY_OUT}
+        FROM (SELECT pickup_month, count(*) AS trip_count,
+                     CAST(coalesce(sum(fare_amount), 0) AS DECIMAL(28, 2)) AS recorded_fare_amount,
+                     CAST(coalesce(sum(total_amount), 0) AS DECIMAL(28, 2))
+                         AS recorded_total_amount,
+                     count(*) FILTER (WHERE fare_amount IS NULL) AS missing_fare_count,
+                     count(*) FILTER (WHERE has_quality_warning) AS unusual_trip_count
+              FROM fact WHERE source_month IN ('1995-01', '1995-02', '1995-03')
+              GROUP BY pickup_month)""",
     "month_status": "SELECT * FROM status",
     "status_pct": """
         SELECT *, 100 * rejected_count / nullif(input_count, 0) AS rejected_pct,

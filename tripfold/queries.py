@@ -4,6 +4,7 @@ Each query works on whole tables.  ``comparable`` turns the types that engines p
 differently into plain ones, decimals into text with all their digits; the operators
 themselves return their own types."""
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,11 +17,15 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
+from tripfold.config import FeedConfig
 from tripfold.functions.lookups import fits_broadcast
 from tripfold.functions.months import month_contract
 from tripfold.operators import answers, checks, contracts, models, profile, snapshot, validate
+from tripfold.plans.gold import build_gold
+from tripfold.plans.months import prepare_month
 from tripfold.session import stage
 from tripfold.sources import orders_feed
+from tripfold.sources.store import MonthStore
 
 RUN_ID = "run-1"
 OTHER_RUN_ID = "run-0"
@@ -52,6 +57,7 @@ ZONELESS_MONTH = "1994-02"
 ODD_MONTH = "1994-03"
 BLANK_MONTH = "1994-04"
 TWICE_MONTH = "1994-05"
+INCREMENT_MONTHS = ("1995-01", "1995-02", "1995-03")
 
 
 def comparable(frame: DataFrame) -> DataFrame:
@@ -540,6 +546,30 @@ def category_counts(f: Feed) -> DataFrame:
     )
 
 
+def gold_increment(f: Feed) -> DataFrame:
+    """Three months through the month jobs and two gold builds, the second of which adds one
+    month to what the first one published; a month is prepared twice in between.
+
+    The tables are those of a feed of their own, named anew at each call."""
+    store = MonthStore(f.spark, FeedConfig(prefix=f"increment_{uuid.uuid4().hex[:8]}"))
+    store.bootstrap()
+
+    def prepared(month: str, run_id: str) -> None:
+        for name, frame in (("yellow_trips", f.bronze), ("taxi_zones", f.raw_zones)):
+            of_month = frame.where(F.col("source_month") == month)
+            store.replace_month(of_month, "bronze", name, month)
+        prepare_month(store, month, run_id)
+
+    *first, last = INCREMENT_MONTHS
+    for month in first:
+        prepared(month, RUN_ID)
+    build_gold(store, first)
+    prepared(first[-1], OTHER_RUN_ID)
+    prepared(last, OTHER_RUN_ID)
+    build_gold(store, INCREMENT_MONTHS)
+    return store.table("gold", "mart_monthly_activity")
+
+
 def month_status(f: Feed) -> DataFrame:
     return f.status
 
@@ -605,6 +635,7 @@ CLEAN_QUERIES = (
     duplicate_zones,
     duplicate_excess,
     category_counts,
+    gold_increment,
     month_status,
     status_pct,
     sensitivity,
