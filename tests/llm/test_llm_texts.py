@@ -602,6 +602,25 @@ def test_samples_are_bounded(spark):
     assert {r["count"] for r in counts} == {300}
 
 
+def test_the_language_gate_keeps_learned_languages_alone(spark):
+    """Sentences in languages that no document is in, among whole tables of those that are."""
+    foreign = [
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+        "人人生而自由,在尊严和权利上一律平等。",
+        "Minden emberi lény szabadon születik és egyenlő méltósága és joga van.",
+        "Tất cả mọi người sinh ra đều được tự do và bình đẳng về nhân phẩm.",
+    ]
+    docs = frames.table(spark, "/root/testdata/sf0.1", "documents")
+    rows = [(10**7 + k, text, None, "web", len(text)) for k, text in enumerate(foreign)]
+    both = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    kept = {r.doc_id for r in corpus_pipeline.keep_language(spark, both, "").select("doc_id").collect()}
+    assert not kept & {row[0] for row in rows}
+    known = {r.doc_id for r in docs.where("length(text) > 0").select("doc_id").collect()}
+    assert len(known - kept) <= 0.002 * len(known)
+
+
 # -- the pipeline --------------------------------------------------------------------
 
 
