@@ -545,6 +545,56 @@ def test_stated_chance_to_miss_a_pair():
     assert abs(1e7 * missed - stated) < 0.05
 
 
+def test_windows_change_no_count_and_no_set(monkeypatch):
+    from tripfold.llm import ngrams
+
+    random = np.random.default_rng(2)
+    words = ["ab", "É", "the", "longer-word", "x" * 90, "漢字", "the"]
+    text = "".join(
+        words[random.integers(7)] + " \n\t\xa0"[random.integers(4)] * random.integers(1, 4)
+        for _ in range(3000)
+    )
+    text += "z" * 5000  # longer than any window
+    whole = (
+        ngrams.word_counts(text, 64).tolist(),
+        ngrams.character_counts(text, (1, 2, 3), 64).tolist(),
+        shingles.shingle_set(text).tolist(),
+    )
+    for window in (1, 7, 300, 1 << 30):
+        monkeypatch.setattr(ngrams, "WINDOW", window)
+        monkeypatch.setattr(shingles, "WINDOW", window)
+        assert whole == (
+            ngrams.word_counts(text, 64).tolist(),
+            ngrams.character_counts(text, (1, 2, 3), 64).tolist(),
+            shingles.shingle_set(text).tolist(),
+        )
+
+
+@pytest.mark.parametrize("operator", ["shingles", "words", "characters", "toxicity", "terms"])
+def test_a_very_long_text_costs_little_memory(operator):
+    """Twenty million characters; what is held beyond the text stays far below ten times it."""
+    import tracemalloc
+
+    from tripfold.llm import divergence, ngrams, toxicity
+
+    text = "some words of a very long text " * 640_000
+    data = text.encode()
+    work = {
+        "shingles": lambda: shingles.shingle_set(text),
+        "words": lambda: ngrams.word_counts(text, 4096),
+        "characters": lambda: ngrams.character_counts(text, (1, 2, 3), 4096),
+        "toxicity": lambda: toxicity.features(text, {}),
+        "terms": lambda: sum(len(set(some)) for some in divergence.windows(data)),
+    }[operator]
+    tracemalloc.start()
+    try:
+        work()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 80 << 20, peak
+
+
 def test_tokens_tell_coordinates_and_values_apart():
     random = np.random.default_rng(1)
     least = random.integers(0, 1 << 64, (500, minhash.COORDINATES), dtype=np.uint64)

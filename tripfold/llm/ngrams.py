@@ -1,10 +1,14 @@
 """Hashed counts of character and word n-grams over whole texts."""
 
+import re
+from collections.abc import Iterator
+
 import numpy as np
 
 STEP = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse
 BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 WINDOW = 1 << 16
+BLANK = re.compile(r"[\t-\r \xa0]")
 
 
 def code_points(text: str) -> np.ndarray:
@@ -32,16 +36,33 @@ def character_counts(text: str, sizes: tuple[int, ...], buckets: int) -> np.ndar
     """Counts of all runs of the given sizes; a long text is cut into overlapping windows,
     which count every run once."""
     counts = np.zeros(buckets, dtype=np.int64)
-    points = code_points(text)
-    for start in range(0, len(points), WINDOW):
+    for start in range(0, len(text), WINDOW):
+        points = code_points(text[start : start + WINDOW + max(sizes) - 1])
         for size in sizes:
-            part = points[start : start + WINDOW + size - 1]
+            part = points[: WINDOW + size - 1]
             counts += np.bincount(character_buckets(part, size, buckets), minlength=buckets)
     return counts
 
 
+def blank_windows(text: str) -> Iterator[str]:
+    """The text in windows that end before white space, so that no word is cut."""
+    start = 0
+    while start < len(text):
+        blank = BLANK.search(text, start + WINDOW)
+        end = blank.start() if blank else len(text)
+        yield text[start:end]
+        start = end
+
+
 def word_counts(text: str, buckets: int) -> np.ndarray:
-    """Counts of the words between white space."""
+    """Counts of the words between white space; a long text is counted in windows."""
+    counts = np.zeros(buckets, dtype=np.int64)
+    for part in blank_windows(text):
+        counts += _word_counts(part, buckets)
+    return counts
+
+
+def _word_counts(text: str, buckets: int) -> np.ndarray:
     points = code_points(text)
     if not len(points):
         return np.zeros(buckets, dtype=np.int64)

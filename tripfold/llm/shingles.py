@@ -1,11 +1,15 @@
 """Sets of five-word shingles as hashes, and signatures over them."""
 
+import re
+
 import numpy as np
 import xxhash
 
 from tripfold.llm.words import Bounded
 
 SIZE = 5
+WINDOW = 1 << 20  # bytes of a text whose words are held at a time
+BLANK = re.compile(rb"[\t-\r ]")
 #: Odd factors that combine the hashes of a shingle's words, one for each place.
 FACTORS = np.array(
     [xxhash.xxh3_64_intdigest(b"place %d" % k) | 1 for k in range(SIZE)], dtype=np.uint64
@@ -19,13 +23,29 @@ def shingle_set(text: str) -> np.ndarray:
     Words are runs without ASCII white space, A to Z in lower case; fewer than five words
     form one shingle, none an empty set.  Two different shingles share a hash with a
     chance of 2^-64."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.empty(0, dtype=np.uint64)
-    hashes = np.array([_hash_of[word] for word in words], dtype=np.uint64)
-    if len(hashes) < SIZE:
-        combined = (hashes * FACTORS[: len(hashes)]).sum(dtype=np.uint64)
-        return np.array([combined ^ np.uint64(len(hashes))], dtype=np.uint64)
+    data = text.encode("utf-8", "surrogatepass")
+    parts, held = [], np.empty(0, dtype=np.uint64)  # the last words of the windows before
+    start = 0
+    while start < len(data):
+        blank = BLANK.search(data, start + WINDOW)
+        end = blank.start() if blank else len(data)
+        words = data[start:end].lower().split()
+        start = end
+        hashes = np.fromiter(map(_hash_of.__getitem__, words), np.uint64, len(words))
+        held = np.concatenate([held, hashes])
+        if len(held) >= SIZE:
+            parts.append(_shingles(held))
+            held = held[len(held) - SIZE + 1 :]
+    if parts:
+        return np.unique(np.concatenate(parts)) if len(parts) > 1 else parts[0]
+    if not len(held):
+        return held
+    combined = (held * FACTORS[: len(held)]).sum(dtype=np.uint64)
+    return np.array([combined ^ np.uint64(len(held))], dtype=np.uint64)
+
+
+def _shingles(hashes: np.ndarray) -> np.ndarray:
+    """The distinct hashes of all runs of words, sorted."""
     count = len(hashes) - SIZE + 1
     value = np.zeros(count, dtype=np.uint64)
     for k in range(SIZE):
