@@ -24,6 +24,7 @@ PIECE_TERMS = 250_000  # of one transducer at most
 HELD_BYTES = 64 << 20  # of the transducers that a task holds during one scan
 FLUSH_BYTES = 16 << 20  # of text whose counts a task holds before it hands them on
 WINDOW = 1 << 20
+COUNTED = 4096  # neighbouring terms whose counts go together
 CHUNK = 4096  # terms of one tile
 BLOCK = 128  # sources along one side of a tile
 
@@ -189,10 +190,17 @@ def recounted(rows: DataFrame, pieces: DataFrame, held_bytes: int = HELD_BYTES)
     every = counted[0]
     for more in counted[1:]:
         every = every.unionAll(more)
-    return every.groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n"))
+    return _merged(every)
+
+
+def _repeated(value: str, number: int) -> pa.Array:
+    return pa.repeat(pa.scalar(value, pa.string()), number)
 
 
 def _streamed(rows: DataFrame, held) -> DataFrame:
+    """What each task counts: lang, source, chunk (of neighbouring ordinals), and as arrays the
+    places in the chunk and their counts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple[str, str], Counter] = defaultdict(Counter)
         read = 0
@@ -200,16 +208,23 @@ def _streamed(rows: DataFrame, held) -> DataFrame:
         def handed_on() -> Iterator[pa.RecordBatch]:
             for (lang, source), own in counts.items():
                 ordinals = held.value.ordinals(lang, list(own))
-                kept = ordinals >= 0
-                number = int(kept.sum())
+                order = np.argsort(ordinals, kind="stable")
+                order = order[np.searchsorted(ordinals[order], 0) :]
+                ordinals = ordinals[order]
+                numbers = np.fromiter(own.values(), "<u4", len(own))[order]
+                chunks, starts = np.unique(ordinals // COUNTED, return_index=True)
+                cuts = [*starts.tolist(), len(ordinals)]
+                places = (ordinals % COUNTED).astype("<u2")
+                parts = list(zip(cuts, cuts[1:], strict=False))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([lang] * number, pa.string()),
-                        pa.array([source] * number, pa.string()),
-                        pa.array(ordinals[kept]),
-                        pa.array(np.fromiter(own.values(), np.int64, len(own))[kept]),
+                        _repeated(lang, len(parts)),
+                        _repeated(source, len(parts)),
+                        pa.array(chunks),
+                        pa.array([places[a:b].tobytes() for a, b in parts], pa.binary()),
+                        pa.array([numbers[a:b].tobytes() for a, b in parts], pa.binary()),
                     ],
-                    ["lang", "source", "ordinal", "n"],
+                    ["lang", "source", "chunk", "places", "numbers"],
                 )
             counts.clear()
 
@@ -229,7 +244,51 @@ def _streamed(rows: DataFrame, held) -> DataFrame:
                     read = 0
         yield from handed_on()
 
-    return rows.mapInArrow(run, "lang string, source string, ordinal bigint, n bigint")
+    return rows.mapInArrow(
+        run, "lang string, source string, chunk bigint, places binary, numbers binary"
+    )
+
+
+def _merged(counted: DataFrame) -> DataFrame:
+    """lang, source, ordinal and n, from what all tasks counted.
+
+    The parts of a chunk come one after the other and are added into one array, so a group
+    that a third of all documents share costs no more memory than another."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, sums = None, np.zeros(COUNTED, dtype=np.int64)
+
+        def done() -> pa.RecordBatch:
+            places = np.flatnonzero(sums)
+            lang, source, chunk = key
+            return pa.RecordBatch.from_arrays(
+                [
+                    _repeated(lang, len(places)),
+                    _repeated(source, len(places)),
+                    pa.array(places + chunk * COUNTED),
+                    pa.array(sums[places]),
+                ],
+                ["lang", "source", "ordinal", "n"],
+            )
+
+        for batch in frames.slices(batches):
+            for row in batch.to_pylist():
+                own = row["lang"], row["source"], row["chunk"]
+                if own != key:
+                    if key is not None:
+                        yield done()
+                    key = own
+                    sums[:] = 0
+                sums[np.frombuffer(row["places"], "<u2")] += np.frombuffer(row["numbers"], "<u4")
+        if key is not None:
+            yield done()
+
+    keys = ("lang", "source", "chunk")
+    return (
+        counted.repartition(*keys)
+        .sortWithinPartitions(*keys)
+        .mapInArrow(run, "lang string, source string, ordinal bigint, n bigint")
+    )
 
 
 def _share(count: Column, total: Column, terms: Column) -> Column:

@@ -38,7 +38,7 @@ class Limits:
 
 
 #: What parts of plain texts and other whole chunks encode to, remembered between tasks.
-_of_part = words.Bounded(limit=96 << 20)
+_of_part = words.Bounded(limit=144 << 20)
 _of_chunk = words.Bounded(limit=16 << 20)
 PARTS_A_CALL = 500
 
