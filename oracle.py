@@ -570,13 +570,13 @@ SELECTS = {
     "zone_contract_raw": """
         WITH lines AS (
             SELECT source_month,
-                   CASE WHEN source_month = '1994-03' THEN 'zone ' || LocationID
-                        WHEN source_month = '1994-04' AND LocationID < '2' THEN NULL
+                   CASE WHEN source_month = '1997-03' THEN 'zone ' || LocationID
+                        WHEN source_month = '1997-04' AND LocationID < '2' THEN NULL
                         ELSE LocationID END AS id
-            FROM raw_zones WHERE source_month <> '1994-02'
+            FROM raw_zones WHERE source_month <> '1997-02'
             UNION ALL
             SELECT source_month, '0' || LocationID FROM raw_zones
-            WHERE source_month = '1994-05' AND length(LocationID) = 1)
+            WHERE source_month = '1997-06' AND length(LocationID) = 1)
         SELECT source_month, zone_id, copies,
                CASE WHEN zone_id IS NOT NULL THEN 'repeated_id'
                     WHEN written > 0 THEN 'uncastable_id' ELSE 'missing_id' END AS violation

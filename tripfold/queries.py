@@ -54,10 +54,10 @@ BLANKED_MONTH = "1996-06"
 SHIFTED_MONTH = "1996-04"
 REPEATED_ZONE = "1995-03:3"
 MISSING_ZONE = "1995-04:7"
-ZONELESS_MONTH = "1994-02"
-ODD_MONTH = "1994-03"
-BLANK_MONTH = "1994-04"
-TWICE_MONTH = "1994-05"
+ZONELESS_MONTH = "1997-02"
+ODD_MONTH = "1997-03"
+BLANK_MONTH = "1997-04"
+TWICE_MONTH = "1997-06"
 INCREMENT_MONTHS = ("1995-01", "1995-02", "1995-03")
 
 
