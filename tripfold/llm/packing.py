@@ -7,6 +7,7 @@ then take their places by their rank within the length."""
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tripfold.llm import frames, words
+from tripfold.llm import bpe, frames, words
 
 END_ID = 1
 RANKED_ROWS = 100_000
@@ -47,17 +48,28 @@ def _coded(alone) -> list[bytes]:
     return [np.array(one.ids, dtype="<u4").tobytes() for one in alone]
 
 
+@lru_cache(maxsize=1)
+def _ends_word(path: str) -> np.ndarray:
+    """Whether each id stands at the end of a word; every word has one such id."""
+    vocabulary = words.library(path).get_vocab()
+    ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+    ends[[k for token, k in vocabulary.items() if token.endswith(bpe.END_OF_WORD)]] = True
+    return ends
+
+
 def _encode_parts(parts: list[str], path: str) -> list[bytes]:
-    """The library's ids of each part: one call for many, told apart by word numbers."""
-    library, result = words.library(path), []
-    for start in range(0, len(parts), PARTS_A_CALL):
-        some = parts[start : start + PARTS_A_CALL]
-        coded = library.encode(" ".join(some), add_special_tokens=False)
-        numbers = np.array(coded.word_ids, dtype=np.float64)  # not a number for no word
-        cuts = np.searchsorted(numbers, np.arange(len(some) + 1)) * 4
-        data = np.array(coded.ids, dtype="<u4").tobytes()
-        if len(numbers) and numbers[-1] == len(some) - 1 and (np.diff(cuts) > 0).all():
-            result += [data[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False)]
+    """The library's ids of each part: one call for many, told apart by the ends of words."""
+    library, ends, result = words.library(path), _ends_word(path), []
+    groups = [parts[at : at + PARTS_A_CALL] for at in range(0, len(parts), PARTS_A_CALL)]
+    joined = [" ".join(group) for group in groups]
+    for some, coded in zip(
+        groups, library.encode_batch_fast(joined, add_special_tokens=False), strict=True
+    ):
+        ids = np.array(coded.ids, dtype="<u4")
+        cuts = np.flatnonzero(ends[ids]) + 1
+        if len(cuts) == len(some) and cuts[-1] == len(ids):
+            data, cuts = ids.tobytes(), [0, *(cuts * 4).tolist()]
+            result += [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
         else:  # some part is no single word to the library
             result += _coded(library.encode_batch_fast(some, add_special_tokens=False))
     return result
@@ -74,9 +86,9 @@ def _looked_up(split: list[list[str]], cache: words.Bounded, encode, path: str)
     them up there and the large cache is asked once a piece."""
     known = {piece: cache.get(piece) for piece in set().union(*split)}
     fresh = [piece for piece, ids in known.items() if ids is None]
-    for piece, ids in zip(fresh, encode(fresh, path), strict=True):
-        known[piece] = ids
-        cache.keep(piece, ids)
+    new = dict(zip(fresh, encode(fresh, path), strict=True))
+    known.update(new)
+    cache.keep_all(new)
     return [b"".join(map(known.__getitem__, pieces)) for pieces in split]
 
 

@@ -86,6 +86,13 @@ class Bounded(dict):
         self[key] = value
         self.held += self.ENTRY_BYTES + len(key) + (8 if isinstance(value, int) else len(value))
 
+    def keep_all(self, entries: dict) -> None:
+        if self.held >= self.limit:
+            self.release()
+        self.update(entries)
+        self.held += sum(map(len, entries)) + sum(map(len, entries.values()))
+        self.held += self.ENTRY_BYTES * len(entries)
+
     def release(self) -> None:
         self.clear()
         self.held = 0
