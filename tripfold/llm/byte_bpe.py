@@ -169,7 +169,7 @@ def _encoder(path: str) -> Bounded:
         symbols = [whole[piece[k : k + 1]] for k in range(len(piece))]
         return tuple(bpe.merge_symbols(symbols, pairs))
 
-    return Bounded(ids)
+    return Bounded(ids, limit=96 << 20)
 
 
 def _grouped(texts: list[str]) -> Iterator[list[str]]:
