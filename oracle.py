@@ -619,10 +619,9 @@ SELECTS = {
         ]
     ),
     "dictionary_report": DICTIONARY,
-    "dictionary_gaps": " UNION ALL ".join(
-        f"SELECT 'bronze.yellow_trips' AS table_name, '{c}' AS column_name, 'string' AS data_type"
-        for c in UNDEFINED
-    ),
+    "dictionary_gaps":
+        "SELECT * EXCLUDE (is_defined, description, domain, lineage) "
+        f"FROM ({DICTIONARY}) WHERE NOT is_defined",
     "column_profile": " UNION ALL ".join(_profile(*about) for about in SOURCES),
     "column_profile_distinct": " UNION ALL ".join(
         f"SELECT '{table}' AS table_name, source_month, '{c}' AS column_name, "

@@ -169,6 +169,21 @@ class Feed:
     def sources(self) -> dict[str, DataFrame]:
         return {"bronze.yellow_trips": self.bronze, "bronze.taxi_zones": self.raw_zones}
 
+    @cached_property
+    def layers(self) -> dict[str, DataFrame]:
+        return {
+            **self.sources,
+            "silver.trips": self.trips,
+            "silver.rejected_trips": self.rejected,
+            "silver.taxi_zones": self.zones,
+            "gold.dim_zones": self.dim,
+            "gold.fct_trips": self.fact,
+            "gold.mart_pickup_activity": self.pickup_mart,
+            "gold.mart_monthly_activity": self.monthly_mart,
+            "gold.mart_route_duration": self.route_mart,
+            "ops.month_status": self.status,
+        }
+
     @cached_property
     def tables(self) -> checks.Tables:
         return checks.Tables(
@@ -476,23 +491,12 @@ def domain_conformance(f: Feed) -> DataFrame:
 
 def dictionary_report(f: Feed) -> DataFrame:
     """Every column of every layer with its type, fill and definition."""
-    tables = {
-        **f.sources,
-        "silver.trips": f.trips,
-        "silver.rejected_trips": f.rejected,
-        "silver.taxi_zones": f.zones,
-        "gold.dim_zones": f.dim,
-        "gold.fct_trips": f.fact,
-        "gold.mart_pickup_activity": f.pickup_mart,
-        "gold.mart_monthly_activity": f.monthly_mart,
-        "gold.mart_route_duration": f.route_mart,
-        "ops.month_status": f.status,
-    }
-    return contracts.dictionary(tables).drop("nullable")
+    return contracts.dictionary(f.layers).drop("nullable")
 
 
 def dictionary_gaps(f: Feed) -> DataFrame:
-    return contracts.dictionary_gaps(f.sources)
+    """Columns of any layer that the dictionary lacks, with their fill."""
+    return contracts.dictionary_gaps(f.layers, with_populated=True).drop("nullable")
 
 
 def column_profile(f: Feed) -> DataFrame:
@@ -659,7 +663,7 @@ FAULT_QUERIES = (
     check_report,
     status_reconciled,
 )
-STAGED_QUERIES = (gated_zone_hours, gated_routes, dictionary_report)
+STAGED_QUERIES = (gated_zone_hours, gated_routes, dictionary_report, dictionary_gaps)
 STAGED_FAULT_QUERIES = (check_report, check_totals, check_source_counts)
 
 
