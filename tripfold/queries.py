@@ -275,6 +275,14 @@ class StagedFeed(Staged, Feed):
     pass
 
 
+class StagedZonesFeed(StagedFeed):
+    """The lookup is written out too, for reports over all layers that join it many times."""
+
+    @cached_property
+    def zones(self) -> DataFrame:
+        return stage(super().zones, "zones")
+
+
 class StagedFaultyFeed(Staged, FaultyFeed):
     pass
 
@@ -663,7 +671,8 @@ FAULT_QUERIES = (
     check_report,
     status_reconciled,
 )
-STAGED_QUERIES = (gated_zone_hours, gated_routes, dictionary_report, dictionary_gaps)
+STAGED_QUERIES = (gated_zone_hours, gated_routes, dictionary_report)
+STAGED_ZONES_QUERIES = (dictionary_gaps,)
 STAGED_FAULT_QUERIES = (check_report, check_totals, check_source_counts)
 
 
@@ -675,5 +684,6 @@ QUERIES = {
     **{query.__name__: _runner(query, Feed) for query in CLEAN_QUERIES},
     **{query.__name__: _runner(query, FaultyFeed) for query in FAULT_QUERIES},
     **{query.__name__: _runner(query, StagedFeed) for query in STAGED_QUERIES},
+    **{query.__name__: _runner(query, StagedZonesFeed) for query in STAGED_ZONES_QUERIES},
     **{query.__name__: _runner(query, StagedFaultyFeed) for query in STAGED_FAULT_QUERIES},
 }
